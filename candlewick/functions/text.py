@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+_WORD = r"[\p{L}\p{N}_]"
 _CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
@@ -43,9 +44,9 @@ def headline(extras: Column, url: Column, tag: str = "PAGE_TITLE") -> Column:
 
 
 def any_of_pattern(words: list[str], whole_word: bool = False) -> str:
-    """Case-insensitive alternation of literal words."""
+    """Case-insensitive alternation of literal words; whole words end at anything but letters, digits and ``_``."""
     body = "|".join(re.escape(w) for w in words)
-    return rf"(?i)\b(?:{body})\b" if whole_word else f"(?i)(?:{body})"
+    return f"(?i)(?<!{_WORD})(?:{body})(?!{_WORD})" if whole_word else f"(?i)(?:{body})"
 
 
 def prompt(text: Column, aspect: Column, instruction: str, delimiter: str, ending: str) -> Column:

@@ -7,6 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from candlewick.session import shared_dir
+from candlewick.sinks.layers import Lake
+
 Build = Callable[[SparkSession, str], DataFrame]
 
 
@@ -45,6 +48,12 @@ def plain_times(df: DataFrame) -> DataFrame:
     )
 
 
+def scratch_lake(spark: SparkSession) -> Lake:
+    """Layers of their own for one query, in the shared folder."""
+    root = shared_dir(spark, "lake")
+    return Lake(spark, root, prefix=f"{root[-12:]}_".replace("-", "_").rjust(14, "x"))
+
+
 def rounded(column: str | Column, digits: int = 6, name: str | None = None) -> Column:
     """Rounded for display. A nudge far below the last digit settles ties (averages of cents often end in a 5), so
     that the order of a sum cannot tip them; adding zero removes a negative zero."""
