@@ -7,6 +7,7 @@ aggregate combines map-side: a hot symbol sends at most one row per task and buc
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,11 +16,18 @@ from candlewick.functions.timefn import bucket_start
 CANDLE = ["symbol", "time_bucket", "open", "high", "low", "close", "volume"]
 
 
+# Room for any long sequence number below the microseconds.
+_SEQ_SPAN = Decimal(10**19)
+
+
 def moment(ts: str = "timestamp", seq: str | None = "seq") -> Column:
-    """Order of a tick: its time, then its sequence number."""
-    parts = [F.col(ts).alias("ts")]
-    parts.append((F.col(seq) if seq else F.lit(0)).cast("long").alias("seq"))
-    return F.struct(*parts)
+    """Order of a tick: its time, then its sequence number, as one number.
+
+    A number keeps the aggregates hash-based; ordering by a struct would sort every input row first.
+    """
+    if seq is None:
+        return F.col(ts)
+    return F.unix_micros(ts).cast("decimal(19,0)") * F.lit(_SEQ_SPAN) + F.col(seq).cast("decimal(19,0)")
 
 
 def partials(ticks: DataFrame, width: str = "minute", seq: str | None = "seq") -> DataFrame:

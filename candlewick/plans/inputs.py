@@ -50,8 +50,10 @@ BARS = """bars AS (
 
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of line prices per supplier."""
-    at = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
     price = F.col("l_extendedprice")
+    # Order, line, then price in cents, as one number: a struct would make the aggregate sort its input.
+    line = F.col("l_orderkey").cast("decimal(19,0)") * 10000 + F.col("l_linenumber")
+    at = line.cast("decimal(25,0)") * 10**12 + F.round(price * 100).cast("decimal(12,0)")
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.col("l_shipdate").cast("date").alias("date"))
