@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.series import BLOCK, DAILY, Series, attach, split
+from candlewick.series import BLOCK, DAILY, GROUP, Series, split
 
 _SCALE_LIMIT = 600.0  # exp(600) is about 1e260
 _UNDERFLOW = 750.0  # exp(-750) is zero as a double
@@ -104,37 +104,39 @@ def ema_any_size(
     parts, blocked = split(df, series, bucket, block_rows=block_rows)
     numbered = parts.select("*", *ema_inputs(blocked)).withColumn("_at", F.col(_ROW))
     # The first block of a key is always block 0.
-    seed = (F.col(_ROW) == 0) & (F.col(BLOCK) == 0)
+    seed = (F.col(_ROW) == 0) & (F.col(GROUP)[BLOCK] == 0)
     inside = carried_ema(numbered, wanted, blocked, first_row=seed)
 
     def tagged(name: str) -> str:
         return f"_end_{name}"
 
-    ends = inside.groupBy(*blocked.partition).agg(
+    ends = inside.groupBy(GROUP).agg(
         (F.max("_at") + 1).alias("_len"), *[F.max_by(name, "_at").alias(tagged(name)) for name in wanted]
     )
-    by_key = Window.partitionBy(*series.key).orderBy(BLOCK)
-    placed = ends.select("*", F.sum("_len").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_stop"))
-    carries = placed
-    for name, (_, alpha) in wanted.items():
-        frame = Window.partitionBy(*series.key).orderBy("_stop").rangeBetween(-reach_rows(alpha), 0)
-        live = F.collect_list(F.struct(F.col("_stop").alias("stop"), F.col(tagged(name)).alias("value"))).over(frame)
-        carries = carries.withColumn(f"_live_{name}", live)
+    key = [f"_key_{i}" for i in range(len(series.key))]
+    keyed = ends.select("*", *[F.col(GROUP)[k].alias(name) for name, k in zip(key, series.key, strict=True)])
+    by_key = Window.partitionBy(*key).orderBy(F.col(GROUP)[BLOCK])
+    placed = keyed.select("*", F.sum("_len").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_stop"))
+
+    def live(name: str, alpha: float) -> Column:
+        frame = Window.partitionBy(*key).orderBy("_stop").rangeBetween(-reach_rows(alpha), 0)
+        end = F.struct(F.col("_stop").alias("stop"), F.col(tagged(name)).alias("value"))
+        return F.collect_list(end).over(frame).alias(f"_live_{name}")
 
     def total(name: str, alpha: float) -> Column:
         return F.aggregate(
             F.col(f"_live_{name}"),
             F.lit(0.0),
             lambda acc, end: acc + end["value"] * F.pow(F.lit(1 - alpha), F.col("_stop") - end["stop"]),
-        )
+        ).alias(tagged(name))
 
-    totals = carries.select(*blocked.partition, *[total(name, a).alias(tagged(name)) for name, (_, a) in wanted.items()])
+    carries = placed.select("*", *[live(name, alpha) for name, (_, alpha) in wanted.items()])
+    totals = carries.select(GROUP, *key, *[total(name, alpha) for name, (_, alpha) in wanted.items()])
     # A block starts from the total at the end of the block before it.
     starts = totals.select(
-        *blocked.partition,
-        *[F.coalesce(F.lag(tagged(name)).over(by_key), F.lit(0.0)).alias(f"_start_{name}") for name in wanted],
+        GROUP, *[F.coalesce(F.lag(tagged(name)).over(by_key), F.lit(0.0)).alias(f"_start_{name}") for name in wanted]
     )
-    joined = attach(inside, starts, blocked.partition)
+    joined = inside.join(starts, GROUP)
     return joined.select(
         *df.columns,
         *[

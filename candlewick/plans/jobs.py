@@ -44,10 +44,12 @@ class Settings:
 
 
 def ingest(lake: Lake, df: DataFrame | None, table: str, keys: Sequence[str]) -> int:
-    """Stamp and upsert landed rows; without any rows nothing is written and the count is 0."""
-    if df is None or df.isEmpty():
+    """Stamp and upsert rows, and return the row count; without any rows nothing is written."""
+    if df is None:
         return 0
-    return lake.write(stamped(df), table, "merge", keys)
+    lake.recover(table)
+    lake.upsert(stamped(df), table, keys, skip_empty=True)
+    return lake.count(table) if lake.exists(table) else 0
 
 
 def land_bars(lake: Lake, bars: DataFrame | None, settings: Settings = Settings()) -> int:

@@ -9,13 +9,14 @@ trailing rows its frames need, so that every operator written against ``Series``
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+GROUP = "_group"  # struct of key and block: one column, so that a join and the windows after it share a shuffle
 BLOCK = "_block"
 MAIN = "_main"
 BEFORE = "_before"
+ON = "_on"
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,7 @@ class Series:
 
     @property
     def partition(self) -> list[str]:
-        return [*self.key, BLOCK] if self.blocked else list(self.key)
+        return [GROUP] if self.blocked else list(self.key)
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.partition).orderBy(*self.order)
@@ -49,10 +50,9 @@ TICKS = Series(key=("symbol",), order=("timestamp", "seq"))
 
 
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with NULL-safe equality on ``on``, so that rows with NULL keys find their group too."""
-    renamed = right.select(*[F.col(c).alias(f"_right_{c}" if c in on else c) for c in right.columns])
-    condition = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
-    return left.join(renamed, condition, how).drop(*[f"_right_{c}" for c in on])
+    """Join on columns where NULL finds NULL, so that rows with NULL keys find their group too."""
+    keyed = right.select(F.struct(*on).alias(ON), *[c for c in right.columns if c not in on])
+    return left.withColumn(ON, F.struct(*on)).join(keyed, ON, how).drop(ON)
 
 
 def bucket_sizes(df: DataFrame, series: Series, bucket: str, **sums: Column) -> DataFrame:
@@ -100,16 +100,16 @@ def split(
         targets = F.array_distinct(
             F.array(own, F.floor(end / block_rows), F.floor((end + halo - 1) / block_rows))
         )
-    placed = sizes.select(
-        *series.key, "_bucket", own.alias("_own"), F.explode(targets).alias(BLOCK)
-    ).withColumn(MAIN, F.col(BLOCK) == F.col("_own"))
-    out = attach(keyed, placed, [*series.key, "_bucket"])
-    return out.drop("_bucket", "_own"), replace(series, blocked=True)
+    placed = sizes.select(*series.key, "_bucket", own.alias("_own"), F.explode(targets).alias(BLOCK))
+    marked = placed.select(*series.key, "_bucket", BLOCK, (F.col(BLOCK) == F.col("_own")).alias(MAIN))
+    joined = attach(keyed, marked, [*series.key, "_bucket"])
+    group = F.struct(*series.key, BLOCK).alias(GROUP)
+    return joined.select(*df.columns, group, MAIN), replace(series, blocked=True)
 
 
 def main_rows(df: DataFrame) -> DataFrame:
     """Rows of the blocks themselves, without the halo copies."""
-    return df.filter(MAIN).drop(BLOCK, MAIN)
+    return df.filter(MAIN).drop(GROUP, MAIN)
 
 
 def running_total(df: DataFrame, values: dict[str, Column], series: Series, bucket: Column) -> DataFrame:
@@ -117,15 +117,13 @@ def running_total(df: DataFrame, values: dict[str, Column], series: Series, buck
 
     Two light steps: one map-side aggregate per bucket, then a window inside each bucket.
     """
-    keyed = df.withColumn("_bucket", bucket)
     names = {f"_sum_{i}": value for i, value in enumerate(values.values())}
+    keyed = df.withColumn("_bucket", bucket)
     sizes = bucket_sizes(keyed, series, "_bucket", **names)
-    inside = (
-        Window.partitionBy(*series.key, "_bucket")
-        .orderBy(*series.order)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    joined = attach(keyed, sizes.drop("_n", BEFORE), [*series.key, "_bucket"])
+    at = F.struct(*series.key, "_bucket").alias(ON)
+    earlier = sizes.select(at, *[f"{name}_before" for name in names])
+    joined = keyed.select("*", at).join(earlier, ON)
+    inside = Window.partitionBy(ON).orderBy(*series.order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *df.columns,
         *[

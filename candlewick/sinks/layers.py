@@ -122,30 +122,40 @@ class Lake:
             columns = self.read(table).columns
             df.select(*columns).write.insertInto(self.name(table))
 
-    def upsert(self, df: DataFrame, table: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+    def upsert(
+        self, df: DataFrame, table: str, keys: Sequence[str], partition_by: Sequence[str] = (), skip_empty: bool = False
+    ) -> None:
         """Update rows with equal keys, insert the others; creates the table on first use.
 
-        With row-level formats this is a MERGE. A parquet table partitioned by key columns rewrites only the
-        partitions the source touches; any other parquet table is written anew and swapped in.
+        The source is computed once, into a staging table that the key check and the merge read. With row-level
+        formats the merge is a MERGE. A parquet table partitioned by key columns rewrites only the partitions the
+        source touches; any other parquet table is written anew and swapped in.
         """
         if not keys:
             raise ValueError("an upsert needs keys")
-        check_unique(df, keys)
-        if not self.exists(table):
-            self._create(df, self.name(table), partition_by)
-        elif self.fmt in ROW_LEVEL_FORMATS:
-            view = f"source_{uuid.uuid4().hex}"
-            df.createOrReplaceTempView(view)
-            try:
-                self.spark.sql(merge_statement(self.name(table), view, df.columns, keys))
-            finally:
-                self.spark.catalog.dropTempView(view)
-        else:
-            layout = self.partition_columns(table)
-            if layout and set(layout) <= set(keys):
-                self._merge_partitions(df, table, keys, layout)
+        name = self.name(table)
+        staged = f"{name}__src_{uuid.uuid4().hex[:12]}"
+        self._create(df, staged, partition_by if not self.exists(table) else ())
+        try:
+            source = self.spark.table(staged).select(*df.columns)
+            if skip_empty and source.isEmpty():
+                return
+            check_unique(source, keys)
+            if not self.exists(table):
+                self._rename(staged, name)
             else:
-                self._replace(merged(self.read(table), df, keys), table, layout)
+                self._merge(source, staged, table, keys)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
+    def _merge(self, source: DataFrame, staged: str, table: str, keys: Sequence[str]) -> None:
+        layout = self.partition_columns(table)
+        if self.fmt in ROW_LEVEL_FORMATS:
+            self.spark.sql(merge_statement(self.name(table), staged, source.columns, keys))
+        elif layout and set(layout) <= set(keys):
+            self._merge_partitions(source, table, keys, layout)
+        else:
+            self._replace(merged(self.read(table), source, keys), table, layout)
 
     def delete(self, gone: DataFrame, table: str, keys: Sequence[str]) -> None:
         """Remove the rows whose keys occur in ``gone``."""
@@ -180,9 +190,9 @@ class Lake:
         layer, short = self.name(table).split(".")
         if not self.spark.catalog.databaseExists(layer) or self.exists(table):
             return
-        names = [t.name for t in self.spark.catalog.listTables(layer) if t.name.startswith(f"{short.lower()}_old_")]
+        names = [t.name for t in self.spark.catalog.listTables(layer) if t.name.startswith(f"{short.lower()}__old_")]
         if names:
-            self.spark.sql(f"ALTER TABLE {layer}.{max(names)} RENAME TO {layer}.{short}")
+            self._rename(f"{layer}.{max(names)}", f"{layer}.{short}")
 
     # --- internals ---
 
@@ -192,14 +202,20 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(name)
 
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+        if any(c.isPartition for c in self.spark.catalog.listColumns(new)):
+            # Some catalogs keep the old folder in their partition entries.
+            self.spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
+
     def _replace(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
         """Stage the new rows as a table, then exchange names; a reader never sees half a table."""
         name = self.name(table)
         tag = uuid.uuid4().hex[:12]
-        staged, old = f"{name}_new_{tag}", f"{name}_old_{tag}"
+        staged, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
         self._create(df, staged, partition_by)
-        self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-        self.spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        self._rename(name, old)
+        self._rename(staged, name)
         self.spark.sql(f"DROP TABLE {old}")
 
     def _merge_partitions(self, df: DataFrame, table: str, keys: Sequence[str], layout: list[str], most: int = 1000) -> None:

@@ -64,6 +64,22 @@ def test_missing_columns_keep_their_value(spark, lake):
     assert _content(lake.read("silver.t")) == [(1, "a", 10), (2, "b", 99), (3, None, 30)]
 
 
+def test_source_is_computed_once_and_staging_goes(spark, lake):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for frame in batches:
+            seen.add(len(frame))
+            yield frame
+
+    df = _frame(spark, [(1, "a"), (2, "b")]).mapInPandas(count, KV)
+    lake.upsert(df, "silver.t", ["k"])
+    assert seen.value == 2
+    lake.upsert(df, "silver.t", ["k"])
+    assert seen.value == 4
+    assert [t.name for t in spark.catalog.listTables(f"{lake.prefix}silver")] == ["t"]
+
+
 def test_unknown_columns_raise(spark, lake):
     lake.upsert(_frame(spark, [(1, "a")]), "silver.t", ["k"])
     with pytest.raises(ValueError, match="not in the target"):
@@ -106,6 +122,16 @@ def test_overwrite_from_itself(spark, lake):
     assert _content(lake.read("bronze.t")) == [(2, "b")]
 
 
+def test_overwrite_of_a_partitioned_table(spark, lake):
+    lake.overwrite(_frame(spark, [(1, "a"), (2, "b")]), "bronze.t", ["v"])
+    lake.overwrite(lake.read("bronze.t").unionByName(_frame(spark, [(3, "c")])).filter("k > 1"), "bronze.t", ["v"])
+    assert _content(lake.read("bronze.t").select("k", "v")) == [(2, "b"), (3, "c")]
+    lake.append(_frame(spark, [(4, "b")]), "bronze.t")
+    assert lake.count("bronze.t") == 3
+    lake.upsert(_frame(spark, [(2, "z")]), "bronze.t", ["k"])  # the key moves to another partition
+    assert _content(lake.read("bronze.t").select("k", "v")) == [(2, "z"), (3, "c"), (4, "b")]
+
+
 def test_append_matches_columns_by_name(spark, lake):
     lake.overwrite(_frame(spark, [(1, "a")]), "bronze.t")
     lake.append(_frame(spark, [("b", 2)], "v string, k int"), "bronze.t")
@@ -121,7 +147,7 @@ def test_delete(spark, lake):
 def test_recover_after_a_broken_swap(spark, lake):
     lake.overwrite(_frame(spark, [(1, "a")]), "bronze.t")
     name = lake.name("bronze.t")
-    spark.sql(f"ALTER TABLE {name} RENAME TO {name}_old_abc")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old_abc")
     assert not lake.exists("bronze.t")
     lake.write(_frame(spark, [(2, "b")]), "bronze.t", "append")
     assert _content(lake.read("bronze.t")) == [(1, "a"), (2, "b")]

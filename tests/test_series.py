@@ -56,7 +56,7 @@ def test_blocks_are_bounded(spark, ticks):
     df = spark.createDataFrame(ticks)
     parts, _ = split(df, TICKS, F.date_trunc("minute", "timestamp"), halo=5, block_rows=50)
     largest_bucket = ticks.groupby(["symbol", ticks["timestamp"].dt.floor("min")]).size().max()
-    sizes = parts.filter("_main").groupBy("symbol", "_block").count().toPandas()
+    sizes = parts.filter("_main").groupBy("_group").count().toPandas()
     assert sizes["count"].max() <= 50 + largest_bucket
     assert sizes["count"].sum() == len(ticks)
 
