@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewick.functions.numeric import pct_change, ratio, safe_log
-from candlewick.operators.recurrence import carried_ema, ema_inputs
+from candlewick.operators.recurrence import carried_ema, ema_inputs, over_blocks
 from candlewick.schemas import PRICE_FEATURES
-from candlewick.series import DAILY, Series, main_rows, split
+from candlewick.series import DAILY, GROUP, MAIN, Series, main_rows, split
 
 # Window lengths of the standard set.
 SMA_LENGTHS = (5, 10, 20, 50, 200)
@@ -205,27 +205,19 @@ def forward_label(df: DataFrame, value: str = "Return", name: str = "next_day_re
 # --- the whole set ----------------------------------------------------------------------------------
 
 
-def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | None = PRICE_FEATURES) -> DataFrame:
-    """All indicators of a daily series after one shuffle by key.
-
-    ``keep`` prunes the result to the model features; ``None`` returns every column.
-    """
+def _trailing(df: DataFrame, series: Series) -> DataFrame:
+    """Everything that looks at a bounded number of rows, in two dependency levels."""
     gain, loss = _moves("close", series)
-    n, width = BOLLINGER
-    frame = series.trailing(n)
     before = previous("close", series)
-
     first = df.select(
         "*",
         *[sma_column("close", length, series).alias(f"MA_{length}") for length in SMA_LENGTHS],
-        F.stddev_samp("close").over(frame).alias("_sd"),
+        F.stddev_samp("close").over(series.trailing(BOLLINGER[0])).alias("_sd"),
         stochastic_k_column(STOCHASTIC[0], series).alias("Stoch_K"),
         roc_column(ROC_LENGTH, series).alias("ROC"),
         true_range_column(series).alias("_range"),
         signed_volume_column(series).alias("_signed"),
-        ratio(
-            F.sum(typical_price() * F.col("volume")).over(series.running()), F.sum("volume").over(series.running())
-        ).alias("VWAP"),
+        before.isNull().alias("_first"),
         sma_column("volume", VOLUME_LENGTH, series).alias("Volume_MA"),
         pct_change(F.col("close"), before).alias("Return"),
         safe_log(ratio(F.col("close"), before)).alias("Log_Return"),
@@ -235,21 +227,33 @@ def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | N
         (F.col("close") - F.col("open")).alias("Open_Close_Range"),
         gain.alias("_gain"),
         loss.alias("_loss"),
-        *ema_inputs(series),
     )
-    second = first.select(
+    return first.select(
         "*",
         sma_column("Stoch_K", STOCHASTIC[1], series).alias("Stoch_D"),
         sma_column("_range", ATR_LENGTH, series).alias("ATR"),
-        F.sum("_signed").over(series.running()).alias("OBV"),
     )
-    third = second.select("*", (F.col("OBV") - previous("OBV", series)).alias("OBV_change"))
+
+
+# Rows before a block that the longest chain of trailing frames can see.
+HALO = max(max(SMA_LENGTHS), STOCHASTIC[0] + STOCHASTIC[1], ROC_LENGTH + 1, ATR_LENGTH + 1)
+
+
+def _averages() -> dict[str, tuple[Column, float]]:
     wanted = {f"EMA_{span}": (F.col("close"), span_alpha(span)) for span in EMA_SPANS}
     wanted["_ema_signal"] = (F.col("close"), span_alpha(SIGNAL_SPAN))
     wanted["_avg_gain"] = (F.col("_gain"), 1.0 / RSI_LENGTH)
     wanted["_avg_loss"] = (F.col("_loss"), 1.0 / RSI_LENGTH)
-    smooth = carried_ema(third, wanted, series)
-    final = smooth.select(
+    return wanted
+
+
+def _totals() -> dict[str, Column]:
+    return {"OBV": F.col("_signed"), "_traded": typical_price() * F.col("volume"), "_shares": F.col("volume")}
+
+
+def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> DataFrame:
+    width = BOLLINGER[1]
+    final = df.select(
         "*",
         *[c.alias(name) for name, c in macd_columns("EMA_12", "EMA_26", "_ema_signal").items()],
         rsi_column("_avg_gain", "_avg_loss").alias("RSI"),
@@ -257,12 +261,37 @@ def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | N
         (F.col("MA_20") + width * F.col("_sd")).alias("BB_upper"),
         (F.col("MA_20") - width * F.col("_sd")).alias("BB_lower"),
         (2 * width * F.col("_sd")).alias("BB_width"),
+        ratio(F.col("_traded"), F.col("_shares")).alias("VWAP"),
+        F.when(~F.col("_first"), F.col("_signed")).alias("OBV_change"),
     )
     if keep is not None:
         return final.select(*series.order, *series.key, *keep)
     return final.select(*[c for c in final.columns if not c.startswith("_")])
 
 
+def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | None = PRICE_FEATURES) -> DataFrame:
+    """All indicators of a daily series after one shuffle by key.
+
+    ``keep`` prunes the result to the model features; ``None`` returns every column.
+    """
+    running = [F.sum(value).over(series.running()).alias(name) for name, value in _totals().items()]
+    rows = _trailing(df, series).select("*", *running, *ema_inputs(series))
+    return _finished(carried_ema(rows, _averages(), series), series, keep)
+
+
+def indicator_set_any_size(
+    df: DataFrame,
+    bucket: Column,
+    series: Series = DAILY,
+    keep: Sequence[str] | None = PRICE_FEATURES,
+    block_rows: int = 65536,
+) -> DataFrame:
+    """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block."""
+    parts, blocked = split(df, series, bucket, halo=HALO, block_rows=block_rows)
+    rows = _trailing(parts, blocked).filter(MAIN).drop(MAIN)
+    return _finished(over_blocks(rows, blocked, _averages(), _totals()).drop(GROUP), series, keep)
+
+
 def tick_indicators(
     df: DataFrame, bucket: Column, series: Series, n: int = 20, price: str = "price", block_rows: int = 65536
 ) -> DataFrame:

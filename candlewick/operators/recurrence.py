@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from candlewick.series import BLOCK, DAILY, GROUP, Series, split
+from candlewick.series import BLOCK, DAILY, GROUP, MAIN, Series, split
 
 _SCALE_LIMIT = 600.0  # exp(600) is about 1e260
 _UNDERFLOW = 750.0  # exp(-750) is zero as a double
@@ -96,51 +96,65 @@ def ema_any_size(
     bucket: Column,
     block_rows: int = 65536,
 ) -> DataFrame:
-    """The same averages for a series of any size (ticks).
+    """The same averages for a series of any size (ticks)."""
+    parts, blocked = split(df, series, bucket, block_rows=block_rows)
+    return over_blocks(parts.drop(MAIN), blocked, wanted).select(*df.columns, *wanted)
+
+
+def over_blocks(
+    blocks: DataFrame,
+    series: Series,
+    averages: dict[str, tuple[Column, float]],
+    totals: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Recursive averages and running totals of a blocked series, without halo rows.
 
-    First pass: average inside each block from a zero start, and one end row per block. The ends of a key, one per
-    ``block_rows`` rows, combine over a range frame as long as a carry lives. Second pass: add the carry.
+    Each block starts from zero and yields one end row. The ends of a key, one per block, add up to the state each
+    block starts from: totals by a running sum, averages over a range frame as long as a carry lives. Blocks keep
+    their place, so adding the state needs no further shuffle of the rows.
     """
-    parts, blocked = split(df, series, bucket, block_rows=block_rows)
-    numbered = parts.select("*", *ema_inputs(blocked)).withColumn("_at", F.col(_ROW))
+    totals = totals or {}
+    key = [f"_key_{i}" for i in range(len(series.key))]
+    numbered = blocks.select(
+        "*", *ema_inputs(series), *[F.sum(value).over(series.running()).alias(name) for name, value in totals.items()]
+    ).withColumn("_at", F.col(_ROW))
     # The first block of a key is always block 0.
     seed = (F.col(_ROW) == 0) & (F.col(GROUP)[BLOCK] == 0)
-    inside = carried_ema(numbered, wanted, blocked, first_row=seed)
-
-    def tagged(name: str) -> str:
-        return f"_end_{name}"
+    inside = carried_ema(numbered, averages, series, first_row=seed)
 
     ends = inside.groupBy(GROUP).agg(
-        (F.max("_at") + 1).alias("_len"), *[F.max_by(name, "_at").alias(tagged(name)) for name in wanted]
+        (F.max("_at") + 1).alias("_len"), *[F.max_by(name, "_at").alias(f"_end_{name}") for name in [*averages, *totals]]
     )
-    key = [f"_key_{i}" for i in range(len(series.key))]
     keyed = ends.select("*", *[F.col(GROUP)[k].alias(name) for name, k in zip(key, series.key, strict=True)])
     by_key = Window.partitionBy(*key).orderBy(F.col(GROUP)[BLOCK])
     placed = keyed.select("*", F.sum("_len").over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias("_stop"))
 
     def live(name: str, alpha: float) -> Column:
         frame = Window.partitionBy(*key).orderBy("_stop").rangeBetween(-reach_rows(alpha), 0)
-        end = F.struct(F.col("_stop").alias("stop"), F.col(tagged(name)).alias("value"))
+        end = F.struct(F.col("_stop").alias("stop"), F.col(f"_end_{name}").alias("value"))
         return F.collect_list(end).over(frame).alias(f"_live_{name}")
 
-    def total(name: str, alpha: float) -> Column:
+    def state(name: str, alpha: float) -> Column:
         return F.aggregate(
             F.col(f"_live_{name}"),
             F.lit(0.0),
             lambda acc, end: acc + end["value"] * F.pow(F.lit(1 - alpha), F.col("_stop") - end["stop"]),
-        ).alias(tagged(name))
-
-    carries = placed.select("*", *[live(name, alpha) for name, (_, alpha) in wanted.items()])
-    totals = carries.select(GROUP, *key, *[total(name, alpha) for name, (_, alpha) in wanted.items()])
-    # A block starts from the total at the end of the block before it.
-    starts = totals.select(
-        GROUP, *[F.coalesce(F.lag(tagged(name)).over(by_key), F.lit(0.0)).alias(f"_start_{name}") for name in wanted]
+        ).alias(f"_state_{name}")
+
+    carries = placed.select("*", *[live(name, alpha) for name, (_, alpha) in averages.items()])
+    states = carries.select("*", *[state(name, alpha) for name, (_, alpha) in averages.items()])
+    # A block starts from the state at the end of the block before it.
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    starts = states.select(
+        GROUP,
+        *[F.coalesce(F.lag(f"_state_{name}").over(by_key), F.lit(0.0)).alias(f"_start_{name}") for name in averages],
+        *[F.coalesce(F.sum(f"_end_{name}").over(earlier), F.lit(0)).alias(f"_start_{name}") for name in totals],
     )
-    joined = inside.join(starts, GROUP)
-    return joined.select(
-        *df.columns,
+    return inside.join(starts, GROUP).select(
+        *blocks.columns,
         *[
             (F.col(name) + F.pow(F.lit(1 - alpha), F.col("_at") + 1) * F.col(f"_start_{name}")).alias(name)
-            for name, (_, alpha) in wanted.items()
+            for name, (_, alpha) in averages.items()
         ],
+        *[(F.coalesce(F.col(name), F.lit(0)) + F.col(f"_start_{name}")).alias(name) for name in totals],
     )

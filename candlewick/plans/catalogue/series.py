@@ -221,6 +221,14 @@ def indicator_set_by_supplier(spark, d):
     return _shown(ind.indicator_set(inputs.supplier_bars(spark, d)), PRICE_FEATURES, 4)
 
 
+@query("indicator_set_in_blocks", _set_sql(inputs.SUPPLIER_BARS))
+def indicator_set_in_blocks(spark, d):
+    """The same set with every supplier cut into blocks of about 300 bars."""
+    month = F.date_trunc("month", "date")
+    out = ind.indicator_set_any_size(inputs.supplier_bars(spark, d), month, block_rows=300)
+    return _shown(out, PRICE_FEATURES, 4)
+
+
 @query(
     "bars_with_indicators",
     f"WITH {inputs.BARS}, x AS (SELECT *, {_trail('avg(close)', 20)} AS MA_20, {_RETURN_SQL} AS Return FROM bars {_W}) "

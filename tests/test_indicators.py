@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.operators import indicators as ind
 from candlewick.schemas import BARS, PRICE_FEATURES
@@ -102,6 +103,21 @@ def test_set_equals_single_indicators(spark):
     assert set(PRICE_FEATURES) <= set(whole.columns)
 
 
+@pytest.mark.parametrize("block_rows", [200, 230, 100000])
+def test_set_in_blocks_equals_whole_set(spark, block_rows):
+    closes = np.random.default_rng(2).uniform(10, 20, 900).round(2)
+    closes[300:420] = 15.0  # a long flat stretch
+    bars = _bars(spark, {"a": closes.tolist(), "b": [4.0, 5.0, 3.0], "c": [1.0]})
+    whole = ind.indicator_set(bars, keep=None).toPandas().set_index(["ticker", "date"]).sort_index()
+    out = ind.indicator_set_any_size(bars, F.date_trunc("month", "date"), keep=None, block_rows=block_rows)
+    parts = out.toPandas().set_index(["ticker", "date"]).sort_index()
+    assert set(parts.columns) == set(whole.columns) and len(parts) == len(whole)
+    for column in whole.columns:
+        np.testing.assert_allclose(
+            parts[column].astype(float), whole[column].astype(float), rtol=1e-9, atol=1e-9, err_msg=column
+        )
+
+
 def test_forward_label(spark):
     out = _rows(ind.forward_label(ind.returns(_bars(spark, {"a": [1.0, 2.0, 3.0]}))), "a")
     assert [r.next_day_return for r in out] == [1.0, 0.5, None]
