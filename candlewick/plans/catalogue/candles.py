@@ -286,3 +286,21 @@ def state_stream(spark, d):
     sink = live.state_sink(lake, "silver.state", "symbol", ["at"])
     live.start(keyed, sink, shared_dir(spark, "checkpoint")).awaitTermination()
     return lake.read("silver.state").select("id", "symbol", "price")
+
+
+@query(
+    "quote_candles_stream",
+    f"""WITH {inputs.TICKS}, q AS (SELECT symbol, price, volume, date_trunc('second', timestamp) AS timestamp FROM ticks WHERE price <> 0),
+b AS (SELECT symbol, date_trunc('hour', timestamp) AS time_bucket, max(price + volume) AS high, min(price - volume) AS low,
+  count(*) AS volume FROM q GROUP BY ALL)
+SELECT symbol, time_bucket, {rounded_sql("high", 4)}, {rounded_sql("low", 4)}, volume FROM b""",
+)
+def quote_candles_stream(spark, d):
+    """Landed JSON quotes, polled as a stream, to stored candle states and back."""
+    landed, out, seen = (shared_dir(spark, name) for name in ("quotes", "partials", "checkpoint"))
+    _quote_payloads(spark, d).select("symbol", "payload").write.json(landed)
+    lines = spark.readStream.schema("symbol string, payload string").json(landed)
+    sink = live.partial_sink(out, "hour", seq=None, quotes=True)
+    live.start(quotes(lines), sink, seen).awaitTermination()
+    candles = live.stored_candles(spark.read.parquet(out))
+    return candles.select("symbol", "time_bucket", rounded("high", 4), rounded("low", 4), "volume")

@@ -97,7 +97,7 @@ def compact_timestamps(spark, d):
 # --- rules ---------------------------------------------------------------------------------------------
 
 
-def _hit_sql(text: str, words: list[str]) -> str:
+def hit_sql(text: str, words: list[str]) -> str:
     return " OR ".join(f"contains(lower({text}), '{w.lower()}')" for w in words) or "false"
 
 
@@ -105,9 +105,9 @@ def _match_sql(source: str, columns: str, title: str = "extracted_title", url: s
     """One filtered scan per rule, united."""
     parts = []
     for ticker, rule in inputs.SAMPLE_RULES.items():
-        banned = _hit_sql(title, rule["blacklist"]) + " OR " + _hit_sql(url, rule["blacklist"])
+        banned = hit_sql(title, rule["blacklist"]) + " OR " + hit_sql(url, rule["blacklist"])
         parts.append(
-            f"SELECT {columns}, '{ticker}' AS ticker FROM {source} WHERE ({_hit_sql(title, rule['aliases'])}) AND NOT ({banned})"
+            f"SELECT {columns}, '{ticker}' AS ticker FROM {source} WHERE ({hit_sql(title, rule['aliases'])}) AND NOT ({banned})"
         )
     return " UNION ALL ".join(parts)
 
@@ -199,9 +199,10 @@ def _count_sql(words: list[str]) -> str:
     return rf"len(list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+'), lambda w: w IN ({wanted})))"
 
 
-_LEXICON_SQL = f"""SELECT doc_id, CASE WHEN balance > 0 THEN 'positive' WHEN balance < 0 THEN 'negative' ELSE 'neutral' END
-  AS sentiment_label, CAST(sign(balance) AS DOUBLE) AS sentiment_score
-FROM (SELECT doc_id, {_count_sql(inputs.SAMPLE_POSITIVE)} - {_count_sql(inputs.SAMPLE_NEGATIVE)} AS balance FROM documents)"""
+_BALANCE = f"({_count_sql(inputs.SAMPLE_POSITIVE)} - {_count_sql(inputs.SAMPLE_NEGATIVE)})"
+LEXICON_CASE = f"CASE WHEN {_BALANCE} > 0 THEN 'positive' WHEN {_BALANCE} < 0 THEN 'negative' ELSE 'neutral' END"
+_LEXICON_SQL = f"""SELECT doc_id, {LEXICON_CASE} AS sentiment_label, CAST(sign({_BALANCE}) AS DOUBLE) AS sentiment_score
+FROM documents"""
 
 
 @query("lexicon_scores", _LEXICON_SQL)

@@ -200,28 +200,31 @@ def forward_label(spark, d):
     return _shown(inputs.features(spark, d), ["Return", "next_day_return"])
 
 
-def _set_sql(source: str) -> str:
-    """Every feature of the model in one statement."""
+def indicator_set_sql(source: str, report: str) -> str:
+    """Every feature of the model in one statement, as table ``x`` for the report."""
     return f"""WITH {source}, {_MACD_SQL}, {_RSI_SQL.format(source='macd')}, {_OBV_SQL.format(source='rsi')},
 ranged AS (SELECT *, {_RANGE_SQL} AS true_range, {_STOCH_SQL} AS Stoch_K,
   (close - lag(close, 12) OVER w) / nullif(lag(close, 12) OVER w, 0) * 100 AS ROC, {_RETURN_SQL} AS Return FROM obv {_W}),
 x AS (SELECT *, {_trail('avg(close)', 20)} AS MA_20, {_trail('avg(close)', 200)} AS MA_200,
   4 * {_trail('stddev_samp(close)', 20)} AS BB_width, {_trail('avg(true_range)', 14)} AS ATR, {_VWAP_SQL} AS VWAP,
   Return * 100 AS Price_Change_Pct, high - low AS High_Low_Range, close - open AS Open_Close_Range FROM ranged)
-{_select(PRICE_FEATURES, 'x', 4)}"""
+{report}"""
 
 
-@query("indicator_set", _set_sql(inputs.BARS))
+_SET = _select(PRICE_FEATURES, "x", 4)
+
+
+@query("indicator_set", indicator_set_sql(inputs.BARS, _SET))
 def indicator_set(spark, d):
     return _shown(ind.indicator_set(inputs.bars(spark, d)), PRICE_FEATURES, 4)
 
 
-@query("indicator_set_by_supplier", _set_sql(inputs.SUPPLIER_BARS))
+@query("indicator_set_by_supplier", indicator_set_sql(inputs.SUPPLIER_BARS, _SET))
 def indicator_set_by_supplier(spark, d):
     return _shown(ind.indicator_set(inputs.supplier_bars(spark, d)), PRICE_FEATURES, 4)
 
 
-@query("indicator_set_in_blocks", _set_sql(inputs.SUPPLIER_BARS))
+@query("indicator_set_in_blocks", indicator_set_sql(inputs.SUPPLIER_BARS, _SET))
 def indicator_set_in_blocks(spark, d):
     """The same set with every supplier cut into blocks of about 300 bars."""
     month = F.date_trunc("month", "date")
