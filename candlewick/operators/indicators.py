@@ -43,27 +43,23 @@ def sma_column(value: str, n: int, series: Series = DAILY) -> Column:
     return F.avg(value).over(series.trailing(n))
 
 
-def stochastic_k_column(n: int, series: Series = DAILY) -> Column:
-    low = F.min("low").over(series.trailing(n))
-    high = F.max("high").over(series.trailing(n))
-    return ratio(F.col("close") - low, high - low) * 100
+def extremes(n: int, series: Series = DAILY) -> tuple[Column, Column]:
+    return F.min("low").over(series.trailing(n)), F.max("high").over(series.trailing(n))
 
 
-def roc_column(n: int, series: Series = DAILY, price: str = "close") -> Column:
-    return pct_change(F.col(price), previous(price, series, n)) * 100
+def stochastic_k_column(low: Column, high: Column) -> Column:
+    """Place of the close between the extremes; NULL for a flat range."""
+    return ratio(F.col("close") - low, high - low) * 100
 
 
-def true_range_column(series: Series = DAILY) -> Column:
-    before = previous("close", series)
-    return F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)
-    )
+def true_range_column(before: Column) -> Column:
+    """Widest of the day's range and the moves from the previous close; the day's range on the first row."""
+    return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
-def signed_volume_column(series: Series = DAILY) -> Column:
+def signed_volume_column(before: Column) -> Column:
     """Volume with the sign of the close's move; zero on the first row."""
-    move = F.signum(F.col("close") - previous("close", series))
-    return F.coalesce(move, F.lit(0.0)) * F.col("volume")
+    return F.coalesce(F.signum(F.col("close") - before), F.lit(0.0)) * F.col("volume")
 
 
 def typical_price() -> Column:
@@ -113,9 +109,9 @@ def macd(
     return out.select(*keep, *[c.alias(n) for n, c in columns.items()])
 
 
-def _moves(price: str, series: Series) -> tuple[Column, Column]:
+def _moves(price: Column, before: Column) -> tuple[Column, Column]:
     """Gain and loss of the last move; zero on the first row."""
-    delta = F.coalesce(F.col(price) - previous(price, series), F.lit(0.0))
+    delta = F.coalesce(price - before, F.lit(0.0))
     return F.greatest(delta, F.lit(0.0)), F.greatest(-delta, F.lit(0.0))
 
 
@@ -128,7 +124,7 @@ def rsi_column(gain: str, loss: str) -> Column:
 
 
 def rsi(df: DataFrame, n: int = RSI_LENGTH, price: str = "close", series: Series = DAILY) -> DataFrame:
-    gain, loss = _moves(price, series)
+    gain, loss = _moves(F.col(price), previous(price, series))
     moved = df.select("*", gain.alias("_gain"), loss.alias("_loss"))
     wanted = {"_avg_gain": (F.col("_gain"), 1.0 / n), "_avg_loss": (F.col("_loss"), 1.0 / n)}
     out = carried_ema(moved, wanted, series)
@@ -136,12 +132,12 @@ def rsi(df: DataFrame, n: int = RSI_LENGTH, price: str = "close", series: Series
 
 
 def stochastic(df: DataFrame, k: int = STOCHASTIC[0], d: int = STOCHASTIC[1], series: Series = DAILY) -> DataFrame:
-    out = df.select("*", stochastic_k_column(k, series).alias("Stoch_K"))
+    out = df.select("*", stochastic_k_column(*extremes(k, series)).alias("Stoch_K"))
     return out.select("*", sma_column("Stoch_K", d, series).alias("Stoch_D"))
 
 
 def roc(df: DataFrame, n: int = ROC_LENGTH, price: str = "close", series: Series = DAILY) -> DataFrame:
-    return df.select("*", roc_column(n, series, price).alias("ROC"))
+    return df.select("*", (pct_change(F.col(price), previous(price, series, n)) * 100).alias("ROC"))
 
 
 def bollinger(
@@ -156,13 +152,13 @@ def bollinger(
 
 
 def atr(df: DataFrame, n: int = ATR_LENGTH, series: Series = DAILY) -> DataFrame:
-    ranged = df.select("*", true_range_column(series).alias("true_range"))
+    ranged = df.select("*", true_range_column(previous("close", series)).alias("true_range"))
     return ranged.select("*", sma_column("true_range", n, series).alias("ATR"))
 
 
 def obv(df: DataFrame, series: Series = DAILY) -> DataFrame:
     """On-balance volume and its change. Needs a whole (not blocked) series."""
-    signed = df.select("*", signed_volume_column(series).alias("_signed"))
+    signed = df.select("*", signed_volume_column(previous("close", series)).alias("_signed"))
     out = signed.select(*df.columns, F.sum("_signed").over(series.running()).alias("OBV"))
     return out.select("*", (F.col("OBV") - previous("OBV", series)).alias("OBV_change"))
 
@@ -206,29 +202,36 @@ def forward_label(df: DataFrame, value: str = "Return", name: str = "next_day_re
 
 
 def _trailing(df: DataFrame, series: Series) -> DataFrame:
-    """Everything that looks at a bounded number of rows, in two dependency levels."""
-    gain, loss = _moves("close", series)
-    before = previous("close", series)
-    first = df.select(
+    """Everything that looks at a bounded number of rows: one level of windows, row arithmetic, a second level."""
+    low, high = extremes(STOCHASTIC[0], series)
+    windows = df.select(
         "*",
         *[sma_column("close", length, series).alias(f"MA_{length}") for length in SMA_LENGTHS],
-        F.stddev_samp("close").over(series.trailing(BOLLINGER[0])).alias("_sd"),
-        stochastic_k_column(STOCHASTIC[0], series).alias("Stoch_K"),
-        roc_column(ROC_LENGTH, series).alias("ROC"),
-        true_range_column(series).alias("_range"),
-        signed_volume_column(series).alias("_signed"),
-        before.isNull().alias("_first"),
         sma_column("volume", VOLUME_LENGTH, series).alias("Volume_MA"),
-        pct_change(F.col("close"), before).alias("Return"),
-        safe_log(ratio(F.col("close"), before)).alias("Log_Return"),
-        (F.col("close") - before).alias("Price_Change"),
-        (pct_change(F.col("close"), before) * 100).alias("Price_Change_Pct"),
+        F.stddev_samp("close").over(series.trailing(BOLLINGER[0])).alias("_sd"),
+        low.alias("_low"),
+        high.alias("_high"),
+        previous("close", series).alias("_before"),
+        previous("close", series, ROC_LENGTH).alias("_long_before"),
+    )
+    close, before = F.col("close"), F.col("_before")
+    gain, loss = _moves(close, before)
+    derived = windows.select(
+        "*",
+        stochastic_k_column(F.col("_low"), F.col("_high")).alias("Stoch_K"),
+        (pct_change(close, F.col("_long_before")) * 100).alias("ROC"),
+        true_range_column(before).alias("_range"),
+        signed_volume_column(before).alias("_signed"),
+        pct_change(close, before).alias("Return"),
+        safe_log(ratio(close, before)).alias("Log_Return"),
+        (close - before).alias("Price_Change"),
+        (pct_change(close, before) * 100).alias("Price_Change_Pct"),
         (F.col("high") - F.col("low")).alias("High_Low_Range"),
-        (F.col("close") - F.col("open")).alias("Open_Close_Range"),
+        (close - F.col("open")).alias("Open_Close_Range"),
         gain.alias("_gain"),
         loss.alias("_loss"),
     )
-    return first.select(
+    return derived.select(
         "*",
         sma_column("Stoch_K", STOCHASTIC[1], series).alias("Stoch_D"),
         sma_column("_range", ATR_LENGTH, series).alias("ATR"),
@@ -262,7 +265,7 @@ def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> Data
         (F.col("MA_20") - width * F.col("_sd")).alias("BB_lower"),
         (2 * width * F.col("_sd")).alias("BB_width"),
         ratio(F.col("_traded"), F.col("_shares")).alias("VWAP"),
-        F.when(~F.col("_first"), F.col("_signed")).alias("OBV_change"),
+        F.when(F.col("_before").isNotNull(), F.col("_signed")).alias("OBV_change"),
     )
     if keep is not None:
         return final.select(*series.order, *series.key, *keep)

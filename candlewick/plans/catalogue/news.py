@@ -150,7 +150,7 @@ def silver_news(spark, d):
     return jobs.silver_news(raw, jobs.Settings(rules=inputs.SAMPLE_RULES, tag="title"))
 
 
-_URL_RULES = {"SPAM": {"aliases": ["spam-farm", "cheap"], "blacklist": ["utm_source"]}, "EN": {"aliases": ["/en/"], "blacklist": []}}
+_URL_RULES = {"SPAM": {"aliases": ["spam-farm", "cheap"], "blacklist": ["utm_source"]}, "LOCAL": {"aliases": ["/en/", "/fr/"], "blacklist": []}}
 
 
 @query(
@@ -158,24 +158,24 @@ _URL_RULES = {"SPAM": {"aliases": ["spam-farm", "cheap"], "blacklist": ["utm_sou
     f"""WITH raw AS (SELECT page_id, url, html,
     CAST(TIMESTAMP '{inputs.START} 00:00:00' + to_minutes(page_id * 37) AS DATE) AS day FROM pages)
 SELECT TIMESTAMP '{inputs.START} 00:00:00' + to_minutes(page_id * 37) AS date, url AS source_url, '' AS themes,
-       CASE WHEN page_id % 2 = 0 THEN 'org' ELSE '' END AS organizations, '' AS tone, html AS extras FROM raw
+       CASE WHEN url LIKE 'https:%' THEN 'org' ELSE '' END AS organizations, '' AS tone, html AS extras FROM raw
 WHERE day BETWEEN DATE '2024-01-02' AND DATE '2024-03-01'
-  AND (page_id % 5 <> 0)
+  AND url NOT LIKE '%/fr/%'
   AND ((regexp_matches(lower(url), 'spam-farm|cheap') AND NOT regexp_matches(lower(url), 'utm_source'))
-       OR regexp_matches(lower(url), '/en/'))""",
+       OR regexp_matches(lower(url), '/en/|/fr/'))""",
 )
 def news_landing(spark, d):
-    """Pages landed by day, every fifth one translated, then read back by date range and URL rules."""
+    """Pages landed by day, the French ones translated, then read back by date range and URL rules."""
     at = F.lit(inputs.START).cast("timestamp") + F.make_dt_interval(mins=F.col("page_id").cast("int") * 37)
     path = shared_dir(spark, "news")
     inputs.table(spark, d, "pages").select(
         F.date_format(at, "yyyyMMddHHmmss").alias("DATE"),
         F.col("url").alias("DocumentIdentifier"),
         F.lit(None).cast("string").alias("Themes"),
-        F.when(F.col("page_id") % 2 == 0, "org").alias("Organizations"),
+        F.when(F.col("url").startswith("https:"), "org").alias("Organizations"),
         F.lit("").alias("V2Tone"),
         F.col("html").alias("Extras"),
-        F.when(F.col("page_id") % 5 == 0, "srclc:fra").otherwise("").alias("TranslationInfo"),
+        F.when(F.col("url").contains("/fr/"), "srclc:fra").otherwise("").alias("TranslationInfo"),
         F.to_date(at).alias("_PARTITIONDATE"),
     ).write.partitionBy("_PARTITIONDATE").parquet(path)
     return typed_news(landed_news(spark.read.parquet(path), _URL_RULES, "2024-01-02", "2024-03-01"))

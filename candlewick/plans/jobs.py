@@ -34,30 +34,46 @@ class Tables:
 
 @dataclass(frozen=True)
 class Settings:
-    """What the jobs need to know besides the data."""
+    """What the jobs need to know besides the data.
+
+    ``partition_by`` is the layout of new tables; ``("date",)`` suits large ones, since an upsert then rewrites only
+    the days it touches.
+    """
 
     tables: Tables = Tables()
     rules: Rules = field(default_factory=lambda: DEFAULT_RULES)
     names: Mapping[str, str] = field(default_factory=lambda: COMPANY_NAMES)
     score: Callable[[DataFrame], DataFrame] = lexicon_scored
     tag: str = "PAGE_TITLE"
+    partition_by: tuple[str, ...] = ()
 
 
-def ingest(lake: Lake, df: DataFrame | None, table: str, keys: Sequence[str]) -> int:
+def ingest(
+    lake: Lake,
+    df: DataFrame | None,
+    table: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    layout_from_keys: bool = False,
+) -> int:
     """Stamp and upsert rows, and return the row count; without any rows nothing is written."""
     if df is None:
         return 0
     lake.recover(table)
-    lake.upsert(stamped(df), table, keys, skip_empty=True)
+    lake.upsert(stamped(df), table, keys, partition_by, True, layout_from_keys)
     return lake.count(table) if lake.exists(table) else 0
 
 
 def land_bars(lake: Lake, bars: DataFrame | None, settings: Settings = Settings()) -> int:
-    return ingest(lake, bars, settings.tables.bars, ["date", "ticker"])
+    return ingest(lake, bars, settings.tables.bars, ["date", "ticker"], settings.partition_by)
 
 
 def land_news(lake: Lake, news: DataFrame | None, settings: Settings = Settings()) -> int:
-    return ingest(lake, news, settings.tables.news_raw, ["date", "source_url"])
+    """News times are instants, so a dated layout goes by their day."""
+    if news is None or not settings.partition_by:
+        return ingest(lake, news, settings.tables.news_raw, ["date", "source_url"])
+    daily = news.withColumn("day", F.to_date("date"))
+    return ingest(lake, daily, settings.tables.news_raw, ["date", "source_url"], ["day"], layout_from_keys=True)
 
 
 # --- the work of each job as a plain frame -------------------------------------------------------------
@@ -91,33 +107,38 @@ def gold_features(indicators: DataFrame, sentiment: DataFrame, settings: Setting
 # --- jobs -------------------------------------------------------------------------------------------
 
 
+def _merge_daily(lake: Lake, df: DataFrame, table: str, settings: Settings) -> int:
+    return lake.write(stamped(df), table, "merge", ["date", "ticker"], settings.partition_by)
+
+
 def bars_to_indicators(lake: Lake, settings: Settings = Settings(), tickers: Sequence[str] | None = None) -> int:
     """All tickers in one pass."""
     bars = bar_projection(lake.read(settings.tables.bars))
     if tickers is not None:
         bars = bars.filter(F.col("ticker").isin(*tickers))
-    return lake.write(stamped(indicator_set(bars)), settings.tables.indicators, "merge", ["date", "ticker"])
+    return _merge_daily(lake, indicator_set(bars), settings.tables.indicators, settings)
 
 
 def news_to_titles(lake: Lake, settings: Settings = Settings()) -> int:
     raw = lake.read(settings.tables.news_raw)
-    return ingest(lake, silver_news(raw, settings), settings.tables.news, ["date", "ticker", "extracted_title"])
+    titles = silver_news(raw, settings)
+    return ingest(lake, titles, settings.tables.news, ["date", "ticker", "extracted_title"], settings.partition_by)
 
 
 def bars_to_gold(lake: Lake, settings: Settings = Settings()) -> int:
     bars = bar_projection(lake.read(settings.tables.bars))
-    return lake.write(stamped(bars), settings.tables.gold_bars, "merge", ["date", "ticker"])
+    return _merge_daily(lake, bars, settings.tables.gold_bars, settings)
 
 
 def news_to_sentiment(lake: Lake, settings: Settings = Settings()) -> int:
     daily = gold_sentiment(lake.read(settings.tables.news), settings)
-    return lake.write(stamped(daily), settings.tables.sentiment, "merge", ["date", "ticker"])
+    return _merge_daily(lake, daily, settings.tables.sentiment, settings)
 
 
 def build_features(lake: Lake, settings: Settings = Settings()) -> int:
     tables = settings.tables
     features = gold_features(lake.read(tables.indicators), lake.read(tables.sentiment), settings)
-    return lake.write(stamped(features), tables.features, "merge", ["date", "ticker"])
+    return _merge_daily(lake, features, tables.features, settings)
 
 
 def csv_to_layer(

@@ -69,6 +69,11 @@ def without(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFram
     return target.join(gone.select(*keys), list(keys), "left_anti").select(*target.columns)
 
 
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one output partition together, large ones split again by AQE: few files, no hot task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 @contextmanager
 def _dynamic_partitions(spark: SparkSession):
     name = "spark.sql.sources.partitionOverwriteMode"
@@ -120,16 +125,24 @@ class Lake:
             self._create(df, self.name(table), partition_by)
         else:
             columns = self.read(table).columns
-            df.select(*columns).write.insertInto(self.name(table))
+            rows = clustered(df.select(*columns), self.partition_columns(table))
+            rows.write.insertInto(self.name(table))
 
     def upsert(
-        self, df: DataFrame, table: str, keys: Sequence[str], partition_by: Sequence[str] = (), skip_empty: bool = False
+        self,
+        df: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        partition_by: Sequence[str] = (),
+        skip_empty: bool = False,
+        layout_from_keys: bool = False,
     ) -> None:
         """Update rows with equal keys, insert the others; creates the table on first use.
 
         The source is computed once, into a staging table that the key check and the merge read. With row-level
-        formats the merge is a MERGE. A parquet table partitioned by key columns rewrites only the partitions the
-        source touches; any other parquet table is written anew and swapped in.
+        formats the merge is a MERGE. A parquet table partitioned by key columns, or by columns computed from keys
+        (``layout_from_keys``), rewrites only the partitions the source touches; any other parquet table is written
+        anew and swapped in.
         """
         if not keys:
             raise ValueError("an upsert needs keys")
@@ -144,15 +157,15 @@ class Lake:
             if not self.exists(table):
                 self._rename(staged, name)
             else:
-                self._merge(source, staged, table, keys)
+                self._merge(source, staged, table, keys, layout_from_keys)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
-    def _merge(self, source: DataFrame, staged: str, table: str, keys: Sequence[str]) -> None:
+    def _merge(self, source: DataFrame, staged: str, table: str, keys: Sequence[str], layout_from_keys: bool) -> None:
         layout = self.partition_columns(table)
         if self.fmt in ROW_LEVEL_FORMATS:
             self.spark.sql(merge_statement(self.name(table), staged, source.columns, keys))
-        elif layout and set(layout) <= set(keys):
+        elif layout and (layout_from_keys or set(layout) <= set(keys)):
             self._merge_partitions(source, table, keys, layout)
         else:
             self._replace(merged(self.read(table), source, keys), table, layout)
@@ -197,7 +210,7 @@ class Lake:
     # --- internals ---
 
     def _create(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
-        writer = df.write.format(self.fmt).mode("overwrite")
+        writer = clustered(df, partition_by).write.format(self.fmt).mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(name)
@@ -228,7 +241,7 @@ class Lake:
             part = target.filter(_any_of(chosen))
         else:
             part = target.join(touched, layout, "left_semi")
-        result = merged(part, df, keys).select(*target.columns)
+        result = clustered(merged(part, df, keys).select(*target.columns), layout)
         with _dynamic_partitions(self.spark):
             result.write.insertInto(self.name(table), overwrite=True)
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions.timefn import month_key
 from candlewick.operators.candles import CANDLE, moment, partials, quote_partials, read_candles
-from candlewick.sinks.layers import Lake, merged, without
+from candlewick.sinks.layers import Lake, clustered, merged, without
 from candlewick.streaming.decode import split_broken
 
 Batch = Callable[[DataFrame, int], None]
@@ -29,7 +29,7 @@ def start(stream: DataFrame, each: Batch, checkpoint: str, every: str | None = N
 def _write_batch(df: DataFrame, path: str, batch_id: int, month_of: str, sort: Sequence[str]) -> None:
     out = df.withColumn("ym", month_key(F.col(month_of))).withColumn("batch", F.lit(batch_id))
     (
-        out.sortWithinPartitions("ym", *sort)
+        clustered(out, ["ym"]).sortWithinPartitions("ym", *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ym", "batch")

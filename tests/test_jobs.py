@@ -96,9 +96,10 @@ def _landed(spark):
     return spark.createDataFrame(rows, BARS), spark.createDataFrame(news, NEWS_RAW)
 
 
-def test_full_run(spark):
+@pytest.mark.parametrize("partition_by", [(), ("date",)])
+def test_full_run(spark, partition_by):
     bars, news = _landed(spark)
-    run = runner.Run(scratch_lake(spark), bars=bars, news=news)
+    run = runner.Run(scratch_lake(spark), jobs.Settings(partition_by=partition_by), bars=bars, news=news)
     for _ in range(2):  # the second run updates in place
         results = runner.run_jobs(runner.SEQUENCES["full"], run)
         assert results == {name: {"success": True} for name in ("bronze", "silver", "gold")}

@@ -101,6 +101,17 @@ def test_partitioned_upsert_leaves_other_partitions_alone(spark, lake, many, mon
     assert set(_files(lake, "gold.t", "p=y")) == files
 
 
+def test_layout_computed_from_keys(spark, lake):
+    def frame(*rows):
+        return _frame(spark, list(rows)).withColumn("tens", F.floor(F.col("k") / 10))
+
+    lake.upsert(frame((1, "a"), (2, "b"), (11, "c")), "gold.t", ["k"], ["tens"])
+    files = set(_files(lake, "gold.t", "tens=1"))
+    lake.upsert(frame((2, "B"), (25, "d")), "gold.t", ["k"], layout_from_keys=True)
+    assert _content(lake.read("gold.t").select("k", "v")) == [(1, "a"), (11, "c"), (2, "B"), (25, "d")]
+    assert set(_files(lake, "gold.t", "tens=1")) == files
+
+
 def _files(lake, table, part):
     return [f for f in lake.read(table).inputFiles() if part in f]
 
