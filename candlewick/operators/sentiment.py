@@ -55,12 +55,16 @@ def model_scored(
     text: str = "extracted_title",
     aspect: str = "company_name",
     batch: int = 100,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Label every row with a model.
 
     ``load`` runs once per task and returns a scorer from texts and aspects to labels. When a batch fails, its
-    rows are tried one by one, and only those that fail again become neutral. Whole texts go in.
+    rows are tried one by one, and only those that fail again become neutral. Whole texts go in. ``tasks`` spreads the
+    rows over that many tasks first: a slow model wants more of them than the scan has.
     """
+    if tasks:
+        df = df.repartition(tasks)
     schema = f"{df.schema.simpleString()[7:-1]},sentiment_label:string,sentiment_score:double"
 
     def one_by_one(score: Scorer, texts: list[str], aspects: list[str]) -> list[str]:

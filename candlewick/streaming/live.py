@@ -68,17 +68,20 @@ def guarded_sink(good_sink: Batch, reject_path: str, most_broken: int | None = 1
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        good, broken = split_broken(batch)
-        (
-            broken.withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(reject_path)
-        )
-        if most_broken is not None and len(broken.limit(most_broken + 1).take(most_broken + 1)) > most_broken:
-            raise TooManyBroken(f"more than {most_broken} broken messages in batch {batch_id}")
-        good_sink(good, batch_id)
+        good, broken = split_broken(batch.persist())
+        try:
+            (
+                broken.withColumn("batch", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch")
+                .parquet(reject_path)
+            )
+            if most_broken is not None and broken.limit(most_broken + 1).count() > most_broken:
+                raise TooManyBroken(f"more than {most_broken} broken messages in batch {batch_id}")
+            good_sink(good, batch_id)
+        finally:
+            batch.unpersist()
 
     return each
 
@@ -128,12 +131,17 @@ def applied(state: DataFrame, envelopes: DataFrame, key: str, at: Sequence[str])
 
 
 def state_sink(lake: Lake, table: str, key: str, at: Sequence[str]) -> Batch:
-    """Keep a current-state table: one upsert and one delete per batch. Replaying a batch changes nothing."""
+    """Keep a current-state table: one upsert per batch, one delete if it holds deletes. Replays change nothing."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        last = newest_changes(batch, key, at)
-        alive = last.filter((F.col("op") != "d") & F.col("after").isNotNull()).select("after.*")
-        lake.upsert(alive, table, [key])
-        lake.delete(last.filter(F.col("op") == "d").select(F.col("_key").alias(key)), table, [key])
+        last = newest_changes(batch, key, at).persist()
+        try:
+            alive = last.filter((F.col("op") != "d") & F.col("after").isNotNull()).select("after.*")
+            lake.upsert(alive, table, [key])
+            gone = last.filter(F.col("op") == "d").select(F.col("_key").alias(key))
+            if not gone.isEmpty():
+                lake.delete(gone, table, [key])
+        finally:
+            last.unpersist()
 
     return each

@@ -11,7 +11,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
