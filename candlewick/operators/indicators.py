@@ -284,9 +284,9 @@ def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | N
 
 def indicator_set_any_size(
     df: DataFrame,
-    bucket: Column,
     series: Series = DAILY,
     keep: Sequence[str] | None = PRICE_FEATURES,
+    bucket: Column | None = None,
     block_rows: int = 65536,
 ) -> DataFrame:
     """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block."""
@@ -296,7 +296,12 @@ def indicator_set_any_size(
 
 
 def tick_indicators(
-    df: DataFrame, bucket: Column, series: Series, n: int = 20, price: str = "price", block_rows: int = 65536
+    df: DataFrame,
+    series: Series,
+    n: int = 20,
+    price: str = "price",
+    bucket: Column | None = None,
+    block_rows: int = 65536,
 ) -> DataFrame:
     """Trailing mean, sample deviation, extremes and return of a series of any size, block by block."""
     parts, blocked = split(df, series, bucket, halo=n, block_rows=block_rows)

@@ -227,8 +227,7 @@ def indicator_set_by_supplier(spark, d):
 @query("indicator_set_in_blocks", indicator_set_sql(inputs.SUPPLIER_BARS, _SET))
 def indicator_set_in_blocks(spark, d):
     """The same set with every supplier cut into blocks of about 300 bars."""
-    month = F.date_trunc("month", "date")
-    out = ind.indicator_set_any_size(inputs.supplier_bars(spark, d), month, block_rows=300)
+    out = ind.indicator_set_any_size(inputs.supplier_bars(spark, d), block_rows=300)
     return _shown(out, PRICE_FEATURES, 4)
 
 
@@ -249,10 +248,6 @@ _TICK_W = "WINDOW w AS (PARTITION BY symbol ORDER BY timestamp, seq)"
 _TICK_FRAME = "(PARTITION BY symbol ORDER BY timestamp, seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
 
 
-def _hour():
-    return F.date_trunc("hour", "timestamp")
-
-
 @query(
     "tick_ema",
     f"WITH {inputs.TICKS} SELECT symbol, seq, "
@@ -263,7 +258,7 @@ def _hour():
 )
 def tick_ema(spark, d):
     wanted = {f"EMA_{n}": (F.col("price"), ind.span_alpha(n)) for n in (12, 200)}
-    out = ema_any_size(inputs.ticks(spark, d), wanted, TICKS, _hour())
+    out = ema_any_size(inputs.ticks(spark, d), wanted, TICKS)
     return out.select("symbol", "seq", rounded("EMA_12"), rounded("EMA_200"))
 
 
@@ -275,7 +270,7 @@ def tick_ema(spark, d):
   {rounded_sql("(price - lag(price) OVER w) / nullif(lag(price) OVER w, 0)", 6, "Return")} FROM ticks {_TICK_W}""",
 )
 def tick_window_stats(spark, d):
-    out = ind.tick_indicators(inputs.ticks(spark, d), _hour(), TICKS)
+    out = ind.tick_indicators(inputs.ticks(spark, d), TICKS)
     return out.select("symbol", "seq", rounded("MA_20", 5), rounded("SD_20", 5), "MIN_20", "MAX_20", rounded("Return"))
 
 
@@ -287,7 +282,7 @@ SELECT symbol, seq, shares, {rounded_sql("traded / nullif(shares, 0)", 5, "VWAP"
 )
 def tick_running_vwap(spark, d):
     totals = {"traded": F.col("price") * F.col("volume"), "shares": F.col("volume")}
-    out = running_total(inputs.ticks(spark, d), totals, TICKS, _hour())
+    out = running_total(inputs.ticks(spark, d), totals, TICKS)
     return out.select("symbol", "seq", "shares", rounded(F.try_divide("traded", "shares"), 5, "VWAP"))
 
 
@@ -298,8 +293,8 @@ SELECT symbol, seq, sum(sv) OVER (PARTITION BY symbol ORDER BY timestamp, seq RO
 )
 def tick_obv(spark, d):
     ticks = inputs.ticks(spark, d)
-    parts, blocked = split(ticks, TICKS, _hour(), halo=1)
+    parts, blocked = split(ticks, TICKS, halo=1)
     move = F.signum(F.col("price") - F.lag("price").over(blocked.window()))
     signed = main_rows(parts.withColumn("signed", F.coalesce(move, F.lit(0.0)) * F.col("volume")))
-    out = running_total(signed, {"OBV": F.col("signed")}, TICKS, _hour())
+    out = running_total(signed, {"OBV": F.col("signed")}, TICKS)
     return out.select("symbol", "seq", (F.col("OBV") + F.lit(0.0)).alias("OBV"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 GROUP = "_group"  # struct of key and block: one column, so that a join and the windows after it share a shuffle
 BLOCK = "_block"
@@ -74,23 +74,48 @@ def bucket_sizes(df: DataFrame, series: Series, bucket: str, **sums: Column) ->
     return sizes.select(*series.key, bucket, "_n", *running)
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """The order column as a number."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column).cast("double")
+
+
+def bucketed(df: DataFrame, series: Series, bucket: Column | None = None, rows: int = 4096) -> DataFrame:
+    """Add ``_bucket``: the given column, or slots along the first order column of about ``rows`` rows each.
+
+    The slot width follows each key's own span and row count, so dense keys get fine slots and sparse keys few.
+    """
+    if bucket is not None:
+        return df.withColumn("_bucket", bucket)
+    at = _number(df, series.order[0])
+    low, high = F.min(at), F.max(at)
+    width = ((high - low) / F.ceil(F.count(F.lit(1)) / rows)).alias("_width")
+    spans = df.groupBy(*series.key).agg(low.alias("_low"), width)
+    slot = F.when(F.col("_width") > 0, F.floor((at - F.col("_low")) / F.col("_width"))).otherwise(F.lit(0))
+    return attach(df, spans, list(series.key)).select(*df.columns, F.when(at.isNotNull(), slot).alias("_bucket"))
+
+
 def split(
     df: DataFrame,
     series: Series,
-    bucket: Column,
+    bucket: Column | None = None,
     halo: int = 0,
     block_rows: int = 65536,
 ) -> tuple[DataFrame, Series]:
     """Cut each key into blocks of about ``block_rows`` rows.
 
-    ``bucket`` must not decrease along the series order (a truncated timestamp, say). A block is a run of
-    whole buckets, so it holds at most ``block_rows`` rows plus one bucket; take buckets fine enough. Every
-    block also receives at least the ``halo`` rows before it (all, if there are fewer), marked
-    ``_main = false``; drop them with ``main_rows`` once the trailing frames are computed.
+    A block is a run of whole buckets, so it holds at most ``block_rows`` rows plus one bucket. Buckets are chosen from
+    the data (see ``bucketed``); a ``bucket`` of your own, such as a truncated timestamp, saves that pass but must not
+    decrease along the series order. Every block also receives at least the ``halo`` rows before it (all, if there are
+    fewer), marked ``_main = false``; drop them with ``main_rows`` once the trailing frames are computed.
     """
     if halo > block_rows:
         raise ValueError("halo must not exceed block_rows")
-    keyed = df.withColumn("_bucket", bucket)
+    keyed = bucketed(df, series, bucket, max(1, min(4096, block_rows // 4)))
     sizes = bucket_sizes(keyed, series, "_bucket")
     end = F.col(BEFORE) + F.col("_n")
     own = F.floor(F.col(BEFORE) / block_rows)
@@ -112,13 +137,16 @@ def main_rows(df: DataFrame) -> DataFrame:
     return df.filter(MAIN).drop(GROUP, MAIN)
 
 
-def running_total(df: DataFrame, values: dict[str, Column], series: Series, bucket: Column) -> DataFrame:
+def running_total(
+    df: DataFrame, values: dict[str, Column], series: Series, bucket: Column | None = None, rows: int = 65536
+) -> DataFrame:
     """Running sums of a series of any size: sum inside the bucket plus the sum of the buckets before.
 
-    Two light steps: one map-side aggregate per bucket, then a window inside each bucket.
+    Two light steps: one map-side aggregate per bucket, then a window inside each bucket. Without a ``bucket`` of your
+    own, buckets hold about ``rows`` rows.
     """
     names = {f"_sum_{i}": value for i, value in enumerate(values.values())}
-    keyed = df.withColumn("_bucket", bucket)
+    keyed = bucketed(df, series, bucket, rows)
     sizes = bucket_sizes(keyed, series, "_bucket", **names)
     at = F.struct(*series.key, "_bucket").alias(ON)
     earlier = sizes.select(at, *[f"{name}_before" for name in names])

@@ -6,7 +6,6 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from candlewick.operators import indicators as ind
 from candlewick.schemas import BARS, PRICE_FEATURES
@@ -109,7 +108,7 @@ def test_set_in_blocks_equals_whole_set(spark, block_rows):
     closes[300:420] = 15.0  # a long flat stretch
     bars = _bars(spark, {"a": closes.tolist(), "b": [4.0, 5.0, 3.0], "c": [1.0]})
     whole = ind.indicator_set(bars, keep=None).toPandas().set_index(["ticker", "date"]).sort_index()
-    out = ind.indicator_set_any_size(bars, F.date_trunc("month", "date"), keep=None, block_rows=block_rows)
+    out = ind.indicator_set_any_size(bars, keep=None, block_rows=block_rows)
     parts = out.toPandas().set_index(["ticker", "date"]).sort_index()
     assert set(parts.columns) == set(whole.columns) and len(parts) == len(whole)
     for column in whole.columns:

@@ -40,10 +40,14 @@ def _by_symbol(frame):
     return {s: g.sort_values("seq").reset_index(drop=True) for s, g in frame.groupby("symbol")}
 
 
-@pytest.mark.parametrize("block_rows", [20, 37, 500, 100000])
-def test_blocked_frames_equal_whole_frames(spark, ticks, block_rows):
+def _bucket(unit):
+    return None if unit is None else F.date_trunc(unit, "timestamp")
+
+
+@pytest.mark.parametrize(("block_rows", "bucket"), [(20, "minute"), (37, None), (500, "minute"), (500, None), (100000, None)])
+def test_blocked_frames_equal_whole_frames(spark, ticks, block_rows, bucket):
     df = spark.createDataFrame(ticks)
-    out = ind.tick_indicators(df, F.date_trunc("minute", "timestamp"), TICKS, n=20, block_rows=block_rows).toPandas()
+    out = ind.tick_indicators(df, TICKS, n=20, bucket=_bucket(bucket), block_rows=block_rows).toPandas()
     assert len(out) == len(ticks)
     for symbol, mine in _by_symbol(out).items():
         price = _by_symbol(ticks)[symbol]["price"]
@@ -57,6 +61,9 @@ def test_blocks_are_bounded(spark, ticks):
     parts, _ = split(df, TICKS, F.date_trunc("minute", "timestamp"), halo=5, block_rows=50)
     largest_bucket = ticks.groupby(["symbol", ticks["timestamp"].dt.floor("min")]).size().max()
     sizes = parts.filter("_main").groupBy("_group").count().toPandas()
+    chosen, _ = split(df, TICKS, block_rows=400)
+    groups = [r["count"] for r in chosen.groupBy("_group").count().collect()]
+    assert sum(groups) == len(ticks) and max(groups) < 600 and len(groups) > 8
     assert sizes["count"].max() <= 50 + largest_bucket
     assert sizes["count"].sum() == len(ticks)
 
@@ -64,8 +71,9 @@ def test_blocks_are_bounded(spark, ticks):
 def test_split_keeps_null_keys(spark):
     rows = [(None, dt.datetime(2024, 1, 1, 0, i), i, float(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, seq long, price double")
-    parts, _ = split(df, TICKS, F.date_trunc("minute", "timestamp"), halo=1, block_rows=2)
-    assert main_rows(parts).count() == 5
+    for bucket in ("minute", None):
+        parts, _ = split(df, TICKS, _bucket(bucket), halo=1, block_rows=2)
+        assert main_rows(parts).count() == 5
 
 
 def test_halo_must_fit(spark, ticks):
@@ -75,16 +83,16 @@ def test_halo_must_fit(spark, ticks):
 
 def test_running_total(spark, ticks):
     df = spark.createDataFrame(ticks)
-    out = running_total(df, {"total": F.col("price")}, TICKS, F.date_trunc("hour", "timestamp")).toPandas()
+    out = running_total(df, {"total": F.col("price")}, TICKS, rows=100).toPandas()
     for symbol, mine in _by_symbol(out).items():
         np.testing.assert_allclose(mine["total"], _by_symbol(ticks)[symbol]["price"].cumsum(), rtol=1e-12)
 
 
-@pytest.mark.parametrize("block_rows", [64, 1000])
-def test_ema_of_any_size(spark, ticks, block_rows):
+@pytest.mark.parametrize(("block_rows", "bucket"), [(64, "minute"), (64, None), (1000, None)])
+def test_ema_of_any_size(spark, ticks, block_rows, bucket):
     df = spark.createDataFrame(ticks)
     wanted = {f"E{n}": (F.col("price"), ind.span_alpha(n)) for n in (3, 12, 200)}
-    out = ema_any_size(df, wanted, TICKS, F.date_trunc("minute", "timestamp"), block_rows=block_rows).toPandas()
+    out = ema_any_size(df, wanted, TICKS, _bucket(bucket), block_rows=block_rows).toPandas()
     assert len(out) == len(ticks)
     for symbol, mine in _by_symbol(out).items():
         for n in (3, 12, 200):
