@@ -30,16 +30,21 @@ def moment(ts: str = "timestamp", seq: str | None = "seq") -> Column:
     return F.unix_micros(ts).cast("decimal(19,0)") * F.lit(_SEQ_SPAN) + F.col(seq).cast("decimal(19,0)")
 
 
+def _placed(rows: DataFrame, width: str, seq: str | None, *values: str) -> DataFrame:
+    """Rows with their bucket and their moment, each computed once."""
+    bucket = bucket_start(F.col("timestamp"), width).alias("time_bucket")
+    return rows.select("symbol", bucket, moment(seq=seq).alias("_at"), *values)
+
+
 def partials(ticks: DataFrame, width: str = "minute", seq: str | None = "seq") -> DataFrame:
     """Mergeable state per symbol and bucket; ``open_at`` and ``close_at`` say which tick won."""
-    at = moment(seq=seq)
-    return ticks.groupBy("symbol", bucket_start(F.col("timestamp"), width).alias("time_bucket")).agg(
-        F.min(at).alias("open_at"),
-        F.min_by("price", at).alias("open"),
+    return _placed(ticks, width, seq, "price", "volume").groupBy("symbol", "time_bucket").agg(
+        F.min("_at").alias("open_at"),
+        F.min_by("price", "_at").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max(at).alias("close_at"),
-        F.max_by("price", at).alias("close"),
+        F.max("_at").alias("close_at"),
+        F.max_by("price", "_at").alias("close"),
         F.sum("volume").alias("volume"),
     )
 
@@ -68,14 +73,14 @@ def candles(ticks: DataFrame, width: str = "minute", seq: str | None = "seq") ->
 
 def quote_partials(quotes: DataFrame, width: str = "minute", seq: str | None = None) -> DataFrame:
     """State from quotes: high and low are the extremes of the quotes' own day range, volume counts quotes."""
-    at = moment(seq=seq)
-    return quotes.groupBy("symbol", bucket_start(F.col("timestamp"), width).alias("time_bucket")).agg(
-        F.min(at).alias("open_at"),
-        F.min_by("current_price", at).alias("open"),
+    placed = _placed(quotes, width, seq, "current_price", "high", "low")
+    return placed.groupBy("symbol", "time_bucket").agg(
+        F.min("_at").alias("open_at"),
+        F.min_by("current_price", "_at").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        F.max(at).alias("close_at"),
-        F.max_by("current_price", at).alias("close"),
+        F.max("_at").alias("close_at"),
+        F.max_by("current_price", "_at").alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
 

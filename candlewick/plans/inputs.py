@@ -54,16 +54,19 @@ def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Order, line, then price in cents, as one number: a struct would make the aggregate sort its input.
     line = F.col("l_orderkey").cast("decimal(19,0)") * 10000 + F.col("l_linenumber")
     at = line.cast("decimal(25,0)") * 10**12 + F.round(price * 100).cast("decimal(12,0)")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").cast("string").alias("ticker"), F.col("l_shipdate").cast("date").alias("date"))
-        .agg(
-            F.min_by(price, at).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, at).alias("close"),
-            F.sum("l_quantity").alias("volume"),
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("ticker"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        price.alias("price"),
+        "l_quantity",
+        at.alias("at"),
+    )
+    return lines.groupBy("ticker", "date").agg(
+        F.min_by("price", "at").alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", "at").alias("close"),
+        F.sum("l_quantity").alias("volume"),
     )
 
 
