@@ -9,11 +9,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from candlewick.llm.common import hash_words, kept, release, window_hashes
+from candlewick.llm.common import discard, hash_words, kept, release, window_hashes
 from candlewick.llm.decontaminate import merged
 
 #: Words of the phrase that anchors a window; stretches of text in one shard's automaton and scan, about.
 ANCHOR, SHARD_STRETCHES = 8, 40_000
+#: Windows of one batch on their way to Spark, about.
+BATCH_WINDOWS = 500_000
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -61,13 +63,30 @@ def _windows(held: DataFrame, window: int, anchor: int) -> DataFrame:
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            made, size = [], 0
             for doc, text, places in zip(pdf["doc"], pdf["text"], pdf["places"], strict=True):
                 hashes = hash_words(split_words(text))
                 place, phrases = anchors(hashes, window, anchor)
                 start = np.flatnonzero(np.isin(place, places))
-                yield pd.DataFrame({"hash": window_hashes(hashes, window)[start].view(np.int64), "doc": doc, "start": start.astype(np.int32), "anchor": phrases[place[start]].view(np.int64)})
+                made.append((window_hashes(hashes, window)[start], np.full(len(start), doc, np.int64), start.astype(np.int32), route(phrases[place[start]])))
+                size += len(start)
+                if size >= BATCH_WINDOWS:
+                    yield _frame(made)
+                    made, size = [], 0
+            if made:
+                yield _frame(made)
 
-    return held.select("doc", "text", "places").mapInPandas(scan, "hash long, doc long, start int, anchor long")
+    return held.select("doc", "text", "places").mapInPandas(scan, "hash long, doc long, start int, anchor int")
+
+
+def route(phrases: np.ndarray) -> np.ndarray:
+    """Half of an anchor's hash, which decides its shard."""
+    return (phrases >> np.uint64(33)).astype(np.int32)
+
+
+def _frame(made: list[tuple]) -> pd.DataFrame:
+    hashed, doc, start, anchor = (np.concatenate(column) for column in zip(*made, strict=True))
+    return pd.DataFrame({"hash": hashed.view(np.int64), "doc": doc, "start": start, "anchor": anchor})
 
 
 def _stretches(held: DataFrame, shards: int, window: int, anchor: int) -> DataFrame:
@@ -80,7 +99,7 @@ def _stretches(held: DataFrame, shards: int, window: int, anchor: int) -> DataFr
                 words = split_words(text)
                 place, phrases = anchors(hash_words(words), window, anchor)
                 start = np.flatnonzero(np.isin(place, places))
-                shard = (phrases[place[start]] % np.uint64(shards)).astype(np.int64)
+                shard = route(phrases[place[start]]) % shards
                 out += [(int(shard[a]), row, doc, int(start[a]), b" ".join(words[start[a] : start[b] + window])) for a, b in _runs(start, shard)]
             yield pd.DataFrame(out, columns=["shard", "row", "doc", "at", "words"])
 
@@ -104,9 +123,8 @@ def _passages(held: DataFrame, firsts: DataFrame, shards: int, window: int) -> D
             for doc, text, found in zip(pdf["doc"], pdf["text"], pdf["firsts"], strict=True):
                 words = split_words(text)
                 start = np.array([f["start"] for f in found], np.int64)
-                hashes = np.array([f["anchor"] for f in found], np.int64).view(np.uint64)
                 order = np.argsort(start, kind="stable")
-                start, shard = start[order], (hashes[order] % np.uint64(shards)).astype(np.int64)
+                start, shard = start[order], np.array([f["anchor"] for f in found], np.int32)[order] % shards
                 out += [(int(shard[a]), b"", doc, int(start[a]), b" ".join(words[start[a] : start[b] + window])) for a, b in _runs(start, shard)]
             yield pd.DataFrame(out, columns=["shard", "row", "doc", "at", "words"])
 
@@ -121,7 +139,7 @@ class PhraseAutomaton:
 
     def __init__(self, window: int) -> None:
         self.window, self.phrase = window, (window + 1) // 2
-        self.first: dict[int, tuple[int, int, bytes]] = {}
+        self.first: dict[int, tuple[int, int, list[bytes], int]] = {}
         self.built = ahocorasick.Automaton()
         self.ready = False
 
@@ -129,8 +147,9 @@ class PhraseAutomaton:
         """A window that starts anywhere in a passage holds one of the phrases cut off it one after another."""
         parts = words.split(b" ")
         for k, h in enumerate(window_hashes(hash_words(parts), self.window).tolist()):
-            if h not in self.first or (doc, at + k) < self.first[h][:2]:
-                self.first[h] = (doc, at + k, b" ".join(parts[k : k + self.window]))
+            known = self.first.get(h)
+            if known is None or (doc, at + k) < known[:2]:
+                self.first[h] = (doc, at + k, parts, k)
         for k in range(0, len(parts) - self.phrase + 1, self.phrase):
             self.built.add_word(" " + b" ".join(parts[k : k + self.phrase]).decode("latin-1") + " ", self.phrase)
 
@@ -156,12 +175,21 @@ class PhraseAutomaton:
         n = len(parts) - self.window + 1
         near = np.flatnonzero(np.cumsum(hit[:-1])[:n] > 0)
         hashes = window_hashes(hash_words(parts), self.window)[near].tolist()
-        out = []
+        out: list[tuple[int, int]] = []
+        last_known = None
         for k, h in zip(near.tolist(), hashes, strict=True):
             known = self.first.get(h)
-            if known and known[:2] < (doc, at + k) and known[2] == b" ".join(parts[k : k + self.window]):
-                out.append((at + k, at + k + self.window))
-        return merged(out)
+            if known is None or (known[0], known[1]) >= (doc, at + k):
+                continue
+            # Of windows one after another, in both texts, only the last word is new.
+            new = self.window - 1 if last_known == (id(known[2]), known[3] - 1, k - 1) else 0
+            if known[2][known[3] + new : known[3] + self.window] == parts[k + new : k + self.window]:
+                last_known = (id(known[2]), known[3], k)
+                if out and at + k <= out[-1][1]:
+                    out[-1] = (out[-1][0], at + k + self.window)
+                else:
+                    out.append((at + k, at + k + self.window))
+        return out
 
 
 def _located(passages: DataFrame, stretches: DataFrame, window: int, shard_stretches: int) -> DataFrame:
@@ -206,11 +234,13 @@ def repeated_ranges(
     copies = named.groupBy(F.unhex(F.md5("text")).alias("same")).agg(F.min("doc").alias("first"))
     # Rows of the first document with a text; equal rows collapse by their key.
     ids = kept(named.select("row", "doc", F.unhex(F.md5("text")).alias("same")).distinct().join(copies, "same").select("row", "doc", (F.col("doc") == F.col("first")).alias("original")), "rows")
-    anchored = kept(_anchor_rows(named, window, anchor), "anchors")
     originals = ids.filter("original").select("row")
-    spread = anchored.join(originals, "row", "left_semi").select("row", F.explode(F.arrays_zip("hash", "place")).alias("a")).select("row", "a.hash", "a.place")
+    anchored = kept(_anchor_rows(named, window, anchor).join(originals, "row", "left_semi"), "anchors")
+    release(spark)
+    spread = anchored.select("row", F.explode(F.arrays_zip("hash", "place")).alias("a")).select("row", "a.hash", "a.place")
     recurring = spread.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
     places = kept(spread.join(recurring, "hash").groupBy("row").agg(F.collect_set("place").alias("places")), "places")  # at most one for each word of the text
+    discard(anchored)
     release(spark)
     held = kept(named.join(places, "row").dropDuplicates(["row"]).select("row", "doc", "text", "places"), "held")
     release(spark)
@@ -224,6 +254,7 @@ def repeated_ranges(
     ranges = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
     whole = ids.filter("not original").select("row", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("end"))).alias("ranges"))
     out = kept(ranges.union(whole), "ranges")
+    discard(places, held, firsts, stretches, ids)
     release(spark)
     return out
 
