@@ -23,11 +23,12 @@ _SEQ_SPAN = Decimal(10**19)
 def moment(ts: str = "timestamp", seq: str | None = "seq") -> Column:
     """Order of a tick: its time, then its sequence number, as one number.
 
-    A number keeps the aggregates hash-based; ordering by a struct would sort every input row first.
+    A number keeps the aggregates hash-based; ordering by a struct would sort every input row first. A tick without a
+    sequence number counts as number 0.
     """
     if seq is None:
         return F.col(ts)
-    return F.unix_micros(ts).cast("decimal(19,0)") * F.lit(_SEQ_SPAN) + F.col(seq).cast("decimal(19,0)")
+    return F.unix_micros(ts).cast("decimal(19,0)") * F.lit(_SEQ_SPAN) + F.coalesce(F.col(seq), F.lit(0)).cast("decimal(19,0)")
 
 
 def _placed(rows: DataFrame, width: str, seq: str | None, *values: str) -> DataFrame:
@@ -96,9 +97,9 @@ def between(df: DataFrame, start: datetime | str, end: datetime | str, symbol: s
 
 
 def bucket_average(
-    df: DataFrame, time: str, value: str, width: str = "day", limit: int | None = 10000, name: str = "average"
+    df: DataFrame, time: str, value: str, width: str = "day", limit: int | None = None, name: str = "average"
 ) -> DataFrame:
-    """Average per time bucket in time order; the report shows the first ``limit`` buckets."""
+    """Average per time bucket in time order: of all buckets, or of the first ``limit`` for a report that wants them."""
     out = (
         df.groupBy(bucket_start(F.col(time), width).alias("time_bucket"))
         .agg(F.avg(value).alias(name))

@@ -31,11 +31,16 @@ def _regression_columns() -> list[Column]:
     return [F.col("n"), F.col("mse"), F.sqrt("mse").alias("rmse"), F.col("mae"), r2.alias("r2"), F.col("pearson")]
 
 
+def complete_pairs(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Rows with both values; a missing prediction must not count in one metric and be skipped in another."""
+    return df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+
+
 def regression_metrics(
     df: DataFrame, by: Sequence[str] = ("ticker",), actual: str = "actual", predicted: str = "predicted"
 ) -> DataFrame:
-    """mse, rmse, mae, r2 and pearson in one aggregation."""
-    return df.groupBy(*by).agg(*_regression(actual, predicted)).select(*by, *_regression_columns())
+    """mse, rmse, mae, r2 and pearson in one aggregation, over the rows that hold both values."""
+    return complete_pairs(df, actual, predicted).groupBy(*by).agg(*_regression(actual, predicted)).select(*by, *_regression_columns())
 
 
 def _steps(series: Series, actual: str, predicted: str) -> list[Column]:
@@ -77,6 +82,7 @@ def direction_metrics(
     groups in blocks that overlap by one row.
     """
     series = Series(key=tuple(by), order=tuple(order))
+    df = complete_pairs(df, actual, predicted)
     if bucket is None:
         stepped = df.select("*", *_steps(series, actual, predicted))
     else:
@@ -85,16 +91,23 @@ def direction_metrics(
     return stepped.groupBy(*by).agg(*_direction()).select(*by, "direction_accuracy", _sharpe())
 
 
-def centred_ranks(counts: DataFrame, value: str, by: Sequence[str], name: str, pieces: int = 256) -> DataFrame:
+#: Distinct values of a group that one task ranks, about.
+RANKED_ROWS = 250_000
+
+
+def centred_ranks(counts: DataFrame, value: str, by: Sequence[str], name: str, pieces: int | None = None) -> DataFrame:
     """Average rank minus the mean rank, per group and distinct value, from ``_count`` rows per value.
 
     No group is ranked in one task: quantile edges cut its distinct values into pieces, and the piece sizes add up to
-    the ranks before each piece.
+    the ranks before each piece. Without a given number the largest group decides how many pieces there are.
     """
     by = list(by)
     known = counts.filter(F.col(value).isNotNull())
+    if pieces is None:
+        largest = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        pieces = max(2, -(-largest // RANKED_ROWS))
     steps = [i / pieces for i in range(1, pieces)]
-    edges = known.groupBy(*by).agg(F.percentile_approx(value, steps).alias("_edges"), F.sum("_count").alias("_total"))
+    edges = known.groupBy(*by).agg(F.percentile_approx(value, steps, 100 * pieces).alias("_edges"), F.sum("_count").alias("_total"))
     placed = attach(known, edges, by).select(
         *by, value, "_count", "_total", F.size(F.filter("_edges", lambda e: e < F.col(value))).alias("_piece")
     )
@@ -114,7 +127,7 @@ def spearman(
     Equal pairs are counted first; every later step starts from that one shuffle.
     """
     by = list(by)
-    complete = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    complete = complete_pairs(df, actual, predicted)
     pairs = complete.groupBy(*by, actual, predicted).agg(F.count(F.lit(1)).alias("_pairs"))
 
     def ranks(value: str, alias: str) -> DataFrame:
@@ -144,7 +157,7 @@ def evaluate(
         ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
         return (F.rank().over(Window.partitionBy(*by).orderBy(value)) + (ties - 1) / 2).alias(alias)
 
-    stepped = df.select(
+    stepped = complete_pairs(df, actual, predicted).select(
         *by,
         actual,
         predicted,

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -215,11 +217,14 @@ def newest_window(
     """One input sequence per key from its last ``look_back`` complete rows.
 
     Only features must be complete: the newest row has no label but is the one to predict from. A key with too few
-    rows raises, or is left out with ``short="drop"``.
+    complete rows, or none at all, raises, or is left out with ``short="drop"``.
     """
-    recent = newest_rows(complete_rows(df, features), look_back, series)
+    whole = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features], F.lit(True))
+    marked = df.select("*", whole.alias("_whole"))
+    place = F.row_number().over(Window.partitionBy(*series.partition).orderBy(F.desc("_whole"), *[F.desc(c) for c in series.order]))
+    recent = marked.select("*", place.alias("_rank")).filter(F.col("_rank") <= look_back)
     values = F.array(*[F.col(c).cast("double") for c in features])
-    entries = F.sort_array(F.collect_list(F.struct(*series.order, values.alias("values"))))
+    entries = F.sort_array(F.collect_list(F.when(F.col("_whole"), F.struct(*series.order, values.alias("values")))))
     grouped = recent.groupBy(*series.key).agg(entries.alias("_rows"))
     enough = F.size("_rows") == look_back
     if short == "drop":
@@ -279,8 +284,7 @@ def score_newest(
     short: str = "error",
 ) -> DataFrame:
     """Scale, predict from the newest rows of every ticker, and report in original units."""
-    recent = newest_rows(complete_rows(df, features), look_back)
-    scaled = scale(recent.select("ticker", "date", *features), scalers, features)
+    scaled = scale(df.select("ticker", "date", *features), scalers, features)
     raw = predict(newest_window(scaled, features, look_back, short=short), load)
     result = unscale(raw, scalers, ["prediction"], fitted=[target])
     return prediction_report(result, model_name, look_back, len(features))

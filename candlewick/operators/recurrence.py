@@ -45,10 +45,12 @@ def carried_ema(
     series: Series = DAILY,
     first_row: Column | None = None,
 ) -> DataFrame:
-    """Add one column per entry ``name -> (value, alpha)``; values must not be NULL.
+    """Add one column per entry ``name -> (value, alpha)``; a NULL value is an error.
 
     ``first_row`` marks the row that seeds the average with full weight: by default the first of each partition.
     """
+    missing = F.raise_error(F.lit("an average carried from row to row needs a value in every row")).cast("double")
+    wanted = {name: (F.coalesce(value, missing), alpha) for name, (value, alpha) in wanted.items()}
     numbered = df if _ROW in df.columns else df.select("*", *ema_inputs(series))
     size = chunk_rows([alpha for _, alpha in wanted.values()])
     seed = F.col(_ROW) == 0 if first_row is None else first_row

@@ -129,7 +129,7 @@ def symbols(spark, d):
 @query(
     "daily_average_price",
     f"""WITH {inputs.TICKS} SELECT date_trunc('day', timestamp) AS time_bucket, {rounded_sql("avg(price)", 4, "average")}
-FROM ticks GROUP BY 1 ORDER BY 1 LIMIT 10000""",
+FROM ticks GROUP BY 1 ORDER BY 1""",
 )
 def daily_average_price(spark, d):
     return cd.bucket_average(inputs.ticks(spark, d), "timestamp", "price").select("time_bucket", rounded("average", 4))

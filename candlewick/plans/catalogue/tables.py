@@ -15,15 +15,16 @@ from candlewick.sources.tables import read_csv, read_ticker
 # --- sinks -------------------------------------------------------------------------------------------
 
 
-def _totals(spark, d, status):
-    """Order count and value per customer for one order status."""
-    chosen = inputs.table(spark, d, "orders").filter(F.col("o_orderstatus") == status)
+def _totals(spark, d, *statuses):
+    """Order count and value per customer, of orders of some statuses, under the name of the first."""
+    status = statuses[0]
+    chosen = inputs.table(spark, d, "orders").filter(F.col("o_orderstatus").isin(*statuses))
     return chosen.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("value"), F.lit(status).alias("status")
     )
 
 
-_TOTALS = """totals AS (SELECT o_orderstatus AS status, o_custkey AS custkey, count(*) AS orders,
+_TOTALS = """totals AS (SELECT if(o_orderstatus = 'F', 'F', 'O') AS status, o_custkey AS custkey, count(*) AS orders,
   round(sum(o_totalprice), 2) AS value FROM orders GROUP BY ALL)"""
 _UPSERT_SQL = f"""WITH {_TOTALS}, source AS (SELECT * FROM totals WHERE status = 'O')
 SELECT custkey, orders, value, status FROM source UNION ALL
@@ -35,13 +36,13 @@ WHERE status = 'F' AND NOT EXISTS (SELECT 1 FROM source s WHERE s.custkey = t.cu
 def keyed_upsert(spark, d):
     lake = scratch_lake(spark)
     lake.upsert(_totals(spark, d, "F"), "silver.totals", ["custkey"])
-    lake.upsert(_totals(spark, d, "O"), "silver.totals", ["custkey"])
+    lake.upsert(_totals(spark, d, "O", "P"), "silver.totals", ["custkey"])
     return lake.read("silver.totals")
 
 
 @query(
     "upsert_into_partitions",
-    """WITH days AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status,
+    """WITH days AS (SELECT o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, if(o_orderstatus = 'F', 'F', 'P') AS status,
   count(*) AS orders FROM orders GROUP BY ALL), source AS (SELECT * FROM days WHERE status = 'P')
 SELECT priority, day, status, orders FROM source UNION ALL SELECT priority, day, status, orders FROM days t
 WHERE status = 'F' AND NOT EXISTS (SELECT 1 FROM source s WHERE s.priority = t.priority AND s.day = t.day)""",
@@ -50,14 +51,14 @@ def upsert_into_partitions(spark, d):
     """Only the partitions that the source touches are written again."""
     lake, keys = scratch_lake(spark), ["priority", "day"]
 
-    def daily(status):
-        chosen = inputs.table(spark, d, "orders").filter(F.col("o_orderstatus") == status)
+    def daily(*statuses):
+        chosen = inputs.table(spark, d, "orders").filter(F.col("o_orderstatus").isin(*statuses))
         return chosen.groupBy(
             F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").cast("date").alias("day")
-        ).agg(F.first("o_orderstatus").alias("status"), F.count(F.lit(1)).alias("orders"))
+        ).agg(F.lit(statuses[0]).alias("status"), F.count(F.lit(1)).alias("orders"))
 
     lake.upsert(daily("F"), "gold.days", keys, partition_by=["priority"])
-    lake.upsert(daily("P"), "gold.days", keys)
+    lake.upsert(daily("P", "O"), "gold.days", keys)
     return lake.read("gold.days").select("priority", "day", "status", "orders")
 
 

@@ -69,7 +69,10 @@ def land_bars(lake: Lake, bars: DataFrame | None, settings: Settings = Settings(
 
 
 def land_news(lake: Lake, news: DataFrame | None, settings: Settings = Settings()) -> int:
-    """News times are instants, so a dated layout goes by their day."""
+    """News times are instants, so a dated layout goes by their day. Of repeated rows of one time and URL the first by content lands."""
+    if news is not None:
+        keys = ["date", "source_url"]
+        news = keep_first(news, keys, [c for c in news.columns if c not in keys])
     if news is None or not settings.partition_by:
         return ingest(lake, news, settings.tables.news_raw, ["date", "source_url"])
     daily = news.withColumn("day", F.to_date("date"))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
@@ -73,6 +75,12 @@ def run_jobs(names: Sequence[str], run: Run, known: Mapping[str, Callable[[Run],
     return results
 
 
+def rules_from_file(path: str) -> dict[str, dict[str, list[str]]]:
+    """Rules as ``{"ticker": {"aliases": [...], "blacklist": [...]}}``; the blacklist may be missing."""
+    given = json.loads(Path(path).read_text(encoding="utf-8"))
+    return {t: {"aliases": list(r["aliases"]), "blacklist": list(r.get("blacklist") or [])} for t, r in given.items()}
+
+
 def main(arguments: Sequence[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="run batch jobs")
     which = parser.add_mutually_exclusive_group(required=True)
@@ -81,21 +89,21 @@ def main(arguments: Sequence[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder of the layer tables")
     parser.add_argument("--bars", help="folder with landed bars, one sub-folder per ticker")
     parser.add_argument("--news", help="folder with landed news, partitioned by date")
-    parser.add_argument("--tickers", default="NVDA,MSFT")
-    parser.add_argument("--bars-from", default="2020-01-02")
-    parser.add_argument("--bars-to", default="2025-12-22")
-    parser.add_argument("--news-from", default="2019-12-31")
-    parser.add_argument("--news-to", default="2025-12-23")
+    parser.add_argument("--rules", help="JSON file: ticker to aliases and blacklist; the default rules if not given")
+    parser.add_argument("--tickers", help="comma-separated; all if not given")
+    for bound in ("bars-from", "bars-to", "news-from", "news-to"):
+        parser.add_argument(f"--{bound}", help="date; no bound if not given")
     args = parser.parse_args(arguments)
 
     spark = build_session()
-    tickers = [t.strip() for t in args.tickers.split(",") if t.strip()]
-    run = Run(Lake(spark, args.root), tickers=tickers)
+    tickers = [t.strip() for t in args.tickers.split(",") if t.strip()] if args.tickers else None
+    rules = rules_from_file(args.rules) if args.rules else DEFAULT_RULES
+    run = Run(Lake(spark, args.root), jobs.Settings(rules=rules), tickers=tickers)
     if args.bars:
         run.bars = landed_bars(spark, args.bars, tickers, args.bars_from, args.bars_to)
     if args.news:
         landed = spark.read.parquet(args.news)
-        run.news = typed_news(landed_news(landed, DEFAULT_RULES, args.news_from, args.news_to))
+        run.news = typed_news(landed_news(landed, rules, args.news_from, args.news_to))
     names = SEQUENCES[args.sequence] if args.sequence else [n.strip() for n in args.jobs.split(",")]
     results = run_jobs(names, run)
     for name, result in results.items():

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.functions.numeric import all_of
 
@@ -231,23 +231,20 @@ class Lake:
         self._rename(staged, name)
         self.spark.sql(f"DROP TABLE {old}")
 
-    def _merge_partitions(self, df: DataFrame, table: str, keys: Sequence[str], layout: list[str], most: int = 1000) -> None:
+    def _merge_partitions(self, df: DataFrame, table: str, keys: Sequence[str], layout: list[str]) -> None:
+        """Rewrite the partitions that the source touches, NULL ones included. The scan skips what lies outside the source's bounds."""
         target = self.read(table)
         touched = df.select(*layout).distinct()
-        values = touched.limit(most + 1).collect()
-        if len(values) <= most:
-            # Few partitions: name them in a filter, so the scan skips all others.
-            chosen = [all_of([F.col(c).eqNullSafe(F.lit(row[c])) for c in layout]) for row in values]
-            part = target.filter(_any_of(chosen))
-        else:
-            part = target.join(touched, layout, "left_semi")
+        ends = [f(c).alias(f"{name}_{c}") for c in layout for name, f in (("least", F.min), ("most", F.max))]
+        empty = [F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in layout]
+        bounds = touched.agg(*ends, *empty).first()
+        inside = []
+        for c in layout:
+            known = F.col(c).between(F.lit(bounds[f"least_{c}"]), F.lit(bounds[f"most_{c}"]))
+            inside.append(known | F.col(c).isNull() if bounds[f"null_{c}"] else known)
+        named = touched.select(*[F.col(c).alias(f"__{c}") for c in layout])
+        equal = all_of([F.col(c).eqNullSafe(F.col(f"__{c}")) for c in layout])
+        part = target.filter(all_of(inside)).join(named, equal, "left_semi")
         result = clustered(merged(part, df, keys).select(*target.columns), layout)
         with _dynamic_partitions(self.spark):
             result.write.insertInto(self.name(table), overwrite=True)
-
-
-def _any_of(conditions: list[Column]) -> Column:
-    out = F.lit(False)
-    for condition in conditions:
-        out = out | condition
-    return out

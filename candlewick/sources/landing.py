@@ -25,27 +25,33 @@ def landed_bars(
 
     Ticker and date filters prune folders and rows; a ticker without files simply adds no rows.
     """
-    # Header names may differ in case, so columns are matched by position against the declared schema.
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BARS.fields if f.name != "ticker")
-    df = spark.read.option("header", True).option("enforceSchema", True).schema(f"{columns}, ticker string").csv(path)
+    # Columns go by header name, in any order and case; a file whose header differs from the others' is an error.
+    reader = spark.read.option("header", True)
+    types = {f.name.lower(): f.dataType.simpleString() for f in BARS.fields}
+    found = [c for c in reader.csv(path).columns if c.lower() != "ticker"]
+    columns = ", ".join(f"`{c}` {types.get(c.lower(), 'string')}" for c in found)
+    df = lower_names(reader.option("enforceSchema", False).schema(f"{columns}, ticker string").csv(path))
     if tickers is not None:
         df = df.filter(F.col("ticker").isin(*tickers))
     if start is not None:
         df = df.filter(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         df = df.filter(F.col("date") <= F.lit(end).cast("date"))
-    return lower_names(df).select(*BARS.fieldNames())
+    return df.select(*BARS.fieldNames())
 
 
 def landed_news(
-    df: DataFrame, rules: Rules, start: date | str, end: date | str, partition: str = "_PARTITIONDATE"
+    df: DataFrame, rules: Rules, start: date | str | None = None, end: date | str | None = None, partition: str = "_PARTITIONDATE"
 ) -> DataFrame:
-    """News of a closed date range, untranslated, whose URL satisfies a rule; six text fields, NULL as ''.
+    """News, of a closed date range if bounds are given, untranslated, whose URL satisfies a rule; six text fields, NULL as ''.
 
     The date range is on the partition column, so other partitions are never listed or read.
     """
-    in_range = F.col(partition).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    kept = df.filter(in_range & is_blank(F.col("TranslationInfo")) & any_rule(rules, F.col("DocumentIdentifier")))
+    if start is not None:
+        df = df.filter(F.col(partition) >= F.lit(start).cast("date"))
+    if end is not None:
+        df = df.filter(F.col(partition) <= F.lit(end).cast("date"))
+    kept = df.filter(is_blank(F.col("TranslationInfo")) & any_rule(rules, F.col("DocumentIdentifier")))
     out = kept.select(
         F.col("DATE").alias("date"),
         F.col("DocumentIdentifier").alias("source_url"),

@@ -61,10 +61,10 @@ class TooManyBroken(RuntimeError):
     """A batch held more broken messages than allowed."""
 
 
-def guarded_sink(good_sink: Batch, reject_path: str, most_broken: int | None = 10) -> Batch:
-    """Send readable messages on and broken ones to ``reject_path``; stop the query beyond ``most_broken`` per batch.
+def guarded_sink(good_sink: Batch, reject_path: str, most_broken: int | None = None) -> Batch:
+    """Send readable messages on and broken ones to ``reject_path``, all of them.
 
-    ``None`` tolerates any number.
+    ``most_broken`` stops the query at a batch with more, for feeds whose owner asks for it.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:

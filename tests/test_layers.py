@@ -86,12 +86,15 @@ def test_unknown_columns_raise(spark, lake):
         lake.upsert(_frame(spark, [(1, "a", 1)], "k int, v string, extra int"), "silver.t", ["k"])
 
 
-@pytest.mark.parametrize("many", [False, True])
-def test_partitioned_upsert_leaves_other_partitions_alone(spark, lake, many, monkeypatch):
-    if many:
-        # Beyond the limit the touched partitions come from a join instead of a filter.
-        inner = lake._merge_partitions
-        monkeypatch.setattr(lake, "_merge_partitions", lambda *a: inner(*a, most=0))
+def test_upsert_into_the_null_partition_keeps_its_rows(spark, lake):
+    schema, keys = "p string, k int, v string", ["p", "k"]
+    lake.upsert(_frame(spark, [(None, 5, "n"), ("x", 1, "a")], schema), "gold.t", keys, ["p"])
+    lake.upsert(_frame(spark, [(None, 6, "m"), ("x", 1, "A")], schema), "gold.t", keys)
+    got = _content(lake.read("gold.t").select("p", "k", "v"))
+    assert got == sorted([(None, 5, "n"), (None, 6, "m"), ("x", 1, "A")], key=str)
+
+
+def test_partitioned_upsert_leaves_other_partitions_alone(spark, lake):
     schema, keys = "p string, k int, v string", ["p", "k"]
     lake.upsert(_frame(spark, [("x", 1, "a"), ("x", 2, "b"), ("y", 1, "c"), (None, 5, "n")], schema), "gold.t", keys, ["p"])
     files = set(_files(lake, "gold.t", "p=y"))
