@@ -159,14 +159,15 @@ def find_secrets(docs: DataFrame, text: str = "text", false_share: float = FALSE
     A null text is empty and has no spans. Columns of ``docs`` of these names are replaced. The levels that bound false
     discoveries come from all rows, so a first pass over the same documents precedes.
     """
-    columns = [c for c in docs.columns if c not in ("base", "secrets", "__least", "__tested")]
-    # One row of at most three entries.
-    bound = F.broadcast(levels(docs, text, false_share).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "least"))).alias("__least")))
+    columns = [c for c in docs.columns if c not in ("base", "secrets", "__tested")]
+    bounds = {r["stratum"]: r["least"] for r in levels(docs, text, false_share).collect()}  # three rows at most
     whole = F.coalesce(F.col(text), F.lit(""))
-    tested = docs.select(*columns, known_forms(whole).alias("base"), _candidates(whole).alias("__tested")).join(bound)
+    tested = docs.select(*columns, known_forms(whole).alias("base"), _candidates(whole).alias("__tested"))
 
     def added(b: Column, c: Column) -> Column:
-        random = c["level"] >= F.coalesce(F.col("__least")[c["stratum"]], F.lit(10**6))
+        random = F.lit(False)
+        for stratum, least in bounds.items():
+            random = random | ((c["stratum"] == stratum) & (c["level"] >= least))
         inside = F.exists(b, lambda s: (s["start"] <= c["start"]) & (s["end"] >= c["end"]))
         return random & ~inside
 

@@ -115,8 +115,9 @@ def links_within(fps: DataFrame, most: int = 2, cell: int = CELL, references: in
         rows = _divided(rows, width)
         sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         sized = kept(rows.join(sizes, "cell"), "cells")
-        found.append(kept(_links(sized.filter(F.col("n") <= cell), most, references), "near"))
-        rows = sized.filter(F.col("n") > cell).select("fp", "cell", "rest")
+        small = F.col("n") <= (cell if width > 8 else max(cell, 16))  # the last cells can't be divided and needn't be
+        found.append(kept(_links(sized.filter(small), most, references), "near"))
+        rows = sized.filter(~small).select("fp", "cell", "rest")
         if rows.isEmpty():
             break
     return reduce(DataFrame.union, found).distinct()
