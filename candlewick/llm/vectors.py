@@ -18,8 +18,8 @@ from candlewick.llm.components import connected
 FIT_ROWS, CELL_ROWS, MOST_CENTROIDS = 20_000, 200, 1_024
 #: Share of links to be found on pairs made at all cosines between the threshold and one; least share of the sample around a ball's centre.
 RECALL, BALL_SHARE = 0.95, 0.002
-#: Vectors of one block of a cell.
-BLOCK = 2_000
+#: Vectors of one block of a cell; sample vectors compared with the whole sample at a time, which bounds the driver's memory.
+BLOCK, STRIP = 2_000, 256
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -105,8 +105,9 @@ def fit_index(sample: np.ndarray, rows: int, threshold: float, recall: float = R
     turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
     cosine = rng.uniform(threshold, 1, len(base))[:, None]
     made = cosine * base + np.sqrt(1 - cosine**2) * turn
-    near = base @ units.T
-    a, b = np.nonzero(near >= threshold)
+    places = [np.nonzero(base[at : at + STRIP] @ units.T >= threshold) for at in range(0, len(base), STRIP)]
+    a = np.concatenate([p[0] + k * STRIP for k, p in enumerate(places)])
+    b = np.concatenate([p[1] for p in places])
     needed = [(_beyond(index, base, made), recall), (_beyond(index, base[a], units[b]), 0.999)]
     index.reach = max(float(np.quantile(e, share, method="higher")) for e, share in needed if len(e)) + 1e-9
     index.ball_cosine = float(np.cos(np.arccos(threshold) / 2)) + 1e-6
@@ -130,7 +131,7 @@ def _beyond(index: MultiIndex, left: np.ndarray, right: np.ndarray) -> np.ndarra
 def _dense(units: np.ndarray, cosine: float) -> np.ndarray:
     """Centres of balls with at least ``BALL_SHARE`` of the sample (and 10 vectors), greedily the fullest first."""
     least = max(10, int(BALL_SHARE * len(units)))
-    count = np.concatenate([(units[at : at + 2048] @ units.T >= cosine).sum(1) for at in range(0, len(units), 2048)])
+    count = np.concatenate([(units[at : at + STRIP] @ units.T >= cosine).sum(1) for at in range(0, len(units), STRIP)])
     free, centres = np.ones(len(units), bool), []
     for k in np.argsort(-count, kind="stable"):
         if count[k] < least:
