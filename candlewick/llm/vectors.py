@@ -108,7 +108,9 @@ def fit_index(sample: np.ndarray, rows: int, threshold: float, recall: float = R
     places = [np.nonzero(base[at : at + STRIP] @ units.T >= threshold) for at in range(0, len(base), STRIP)]
     a = np.concatenate([p[0] + k * STRIP for k, p in enumerate(places)])
     b = np.concatenate([p[1] for p in places])
-    needed = [(_beyond(index, base, made), recall), (_beyond(index, base[a], units[b]), 0.999)]
+    parts = range(0, len(a), 4096)
+    real = [_beyond(index, base[a[at : at + 4096]], units[b[at : at + 4096]]) for at in parts]  # not all pairs' vectors at once
+    needed = [(_beyond(index, base, made), recall), (np.concatenate(real) if real else np.empty(0), 0.999)]
     index.reach = max(float(np.quantile(e, share, method="higher")) for e, share in needed if len(e)) + 1e-9
     index.ball_cosine = float(np.cos(np.arccos(threshold) / 2)) + 1e-6
     index.balls = _dense(units, index.ball_cosine)
