@@ -110,7 +110,7 @@ def block_features(page: list[Block]) -> np.ndarray:
         for w in words:
             slot, sign = _slot(w.strip(".,:;!?()©"), WORDS)
             x[i, PATH + slot] += sign
-        x[i, PATH : PATH + WORDS] /= max(1.0, float(np.sqrt(len(words))))
+        x[i, PATH : PATH + WORDS] /= max(1.0, float(np.linalg.norm(x[i, PATH : PATH + WORDS])))  # long and repetitive blocks weigh no more
         stops = sum(w[-1] in ".!?,;:" for w in words)
         x[i, PATH + WORDS :] = (
             min(len(words), 100) / 50, min(np.log1p(len(b.text)), 8) / 4, b.linked / len(b.text), stops / len(words),
