@@ -14,6 +14,8 @@ from candlewick.llm.decontaminate import merged
 
 #: Words of the phrase that anchors a window; stretches of text in one shard's automaton and scan, about.
 ANCHOR, SHARD_STRETCHES = 8, 40_000
+#: Bytes of text searched at once, about.
+SEARCHED_BYTES = 1_000_000
 #: Windows of one batch on their way to Spark, about.
 BATCH_WINDOWS = 500_000
 
@@ -27,17 +29,23 @@ def anchors(hashes: np.ndarray, window: int, anchor: int = ANCHOR) -> tuple[np.n
     """For each window, the place of its anchor: the phrase of ``anchor`` words in it with the least hash, the leftmost of equal ones;
     and the hashes of all phrases. Equal windows have equal anchors."""
     phrases = window_hashes(hashes, anchor)
-    width = window - anchor + 1
     n = len(hashes) - window + 1
     if n <= 0:
         return np.empty(0, np.int64), phrases
-    least = np.array(phrases[:n])
-    place = np.arange(n)
-    for k in range(1, width):
-        lower = phrases[k : k + n] < least
-        np.copyto(least, phrases[k : k + n], where=lower)
-        place[lower] = np.flatnonzero(lower) + k
-    return place, phrases
+    return _leftmost_least(phrases, window - anchor + 1)[:n], phrases
+
+
+def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the leftmost least of each run of ``width`` values, from runs of doubled width, the last two overlapping."""
+    least, place, run = values, np.arange(len(values)), 1
+    while run < width:
+        step = min(run, width - run)
+        right = least[step:]
+        lower = right < least[: len(right)]
+        least = np.where(lower, right, least[: len(right)])
+        place = np.where(lower, place[step:], place[: len(right)])
+        run += step
+    return place
 
 
 def _anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -134,61 +142,100 @@ def _passages(held: DataFrame, firsts: DataFrame, shards: int, window: int) -> D
     return joined.mapInPandas(scan, "shard long, row binary, doc long, at int, words binary")
 
 
+#: Stands between texts searched together. White space separates words, so no word is a line feed.
+BETWEEN = b" \n "
+
+
+class _Words:
+    """Texts one after another: their words, where each word lies among the bytes, and where each text's words begin."""
+
+    def __init__(self, texts: list[bytes], window: int) -> None:
+        self.text, self.window = BETWEEN.join(texts), window
+        parts = self.text.split(b" ")
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.blank = np.cumsum(lengths + 1)  # place of the blank after each word, when a blank is put before the text
+        self.byte = self.blank - lengths - 1
+        self.hashes = window_hashes(hash_words(parts), window)
+        self.sizes = np.fromiter((t.count(b" ") + 1 for t in texts), np.int64, len(texts))
+        self.begin = np.cumsum(self.sizes + 1) - self.sizes - 1
+
+    def whole(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of windows at these words the ones within one text, the text, and the window's place in it."""
+        owner = np.searchsorted(self.begin, places, "right") - 1
+        local = places - self.begin[owner]
+        inside = local + self.window <= self.sizes[owner]
+        return places[inside], owner[inside], local[inside]
+
+    def cut(self, first: int, last: int) -> bytes:
+        """The bytes of the windows from one to another."""
+        return self.text[self.byte[first] : self.blank[last + self.window - 1] - 1]
+
+
 class PhraseAutomaton:
-    """Aho-Corasick automaton over the phrases of a shard's passages, and where each of their windows occurs first."""
+    """Aho-Corasick automaton over the phrases of a shard's passages, and where each of their windows occurs first.
+
+    A window that starts anywhere in a passage holds one of the phrases cut off it one after another.
+    """
 
     def __init__(self, window: int) -> None:
         self.window, self.phrase = window, (window + 1) // 2
-        self.first: dict[int, tuple[int, int, list[bytes], int]] = {}
-        self.built = ahocorasick.Automaton()
-        self.ready = False
+        self.passages: list[tuple[int, int, bytes]] = []
+        self.built: ahocorasick.Automaton | None = None
 
     def add(self, doc: int, at: int, words: bytes) -> None:
-        """A window that starts anywhere in a passage holds one of the phrases cut off it one after another."""
-        parts = words.split(b" ")
-        for k, h in enumerate(window_hashes(hash_words(parts), self.window).tolist()):
-            known = self.first.get(h)
-            if known is None or (doc, at + k) < known[:2]:
-                self.first[h] = (doc, at + k, parts, k)
-        for k in range(0, len(parts) - self.phrase + 1, self.phrase):
-            self.built.add_word(" " + b" ".join(parts[k : k + self.phrase]).decode("latin-1") + " ", self.phrase)
-
-    def repeats(self, doc: int, at: int, words: bytes) -> list[tuple[int, int]]:
-        """Word ranges of a stretch covered by windows that also start earlier."""
-        if not self.first:
-            return []
-        if not self.ready:
-            self.built.make_automaton()
-            self.ready = True
-        parts = words.split(b" ")
-        line = " " + words.decode("latin-1") + " "
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-        hit = np.zeros(len(parts) + 1, np.int64)
-        spare = self.window - self.phrase
-        found = np.fromiter((end for end, _ in self.built.iter(line)), np.int64)
-        if not len(found):
+        self.passages.append((doc, at, words))
+
+    def _build(self) -> None:
+        self.built = ahocorasick.Automaton()
+        for _, _, words in self.passages:
+            parts = words.split(b" ")
+            for k in range(0, len(parts) - self.phrase + 1, self.phrase):
+                self.built.add_word(" " + b" ".join(parts[k : k + self.phrase]).decode("latin-1") + " ", self.phrase)
+        self.built.make_automaton()
+        self.known = _Words([words for _, _, words in self.passages], self.window)
+        place, owner, local = self.known.whole(np.arange(len(self.known.hashes)))
+        doc = np.array([d for d, _, _ in self.passages], np.int64)[owner]
+        at = np.array([a for _, a, _ in self.passages], np.int64)[owner] + local
+        hashes = self.known.hashes[place]
+        order = np.lexsort((at, doc, hashes))
+        first = order[np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0)]
+        self.hashes, self.doc, self.at, self.place = hashes[first], doc[first], at[first], place[first]
+        self.passages = []
+
+    def repeats(self, doc: np.ndarray, at: np.ndarray, texts: list[bytes]) -> list[tuple[int, int, int]]:
+        """Of stretches of text: which one, and its word ranges covered by windows that also start earlier."""
+        if self.built is None:
+            if not self.passages:
+                return []
+            self._build()
+        new = _Words(texts, self.window)
+        n = len(new.hashes)
+        found = np.fromiter((end for end, _ in self.built.iter(" " + new.text.decode("latin-1") + " ")), np.int64)
+        if not len(found) or not n:
             return []
-        last = np.searchsorted(ends, found)  # index of the phrase's last word
-        begin = last - self.phrase + 1
-        np.add.at(hit, np.maximum(begin - spare, 0), 1)
-        np.add.at(hit, begin + 1, -1)
-        n = len(parts) - self.window + 1
-        near = np.flatnonzero(np.cumsum(hit[:-1])[:n] > 0)
-        hashes = window_hashes(hash_words(parts), self.window)[near].tolist()
-        out: list[tuple[int, int]] = []
-        last_known = None
-        for k, h in zip(near.tolist(), hashes, strict=True):
-            known = self.first.get(h)
-            if known is None or (known[0], known[1]) >= (doc, at + k):
-                continue
-            # Of windows one after another, in both texts, only the last word is new.
-            new = self.window - 1 if last_known == (id(known[2]), known[3] - 1, k - 1) else 0
-            if known[2][known[3] + new : known[3] + self.window] == parts[k + new : k + self.window]:
-                last_known = (id(known[2]), known[3], k)
-                if out and at + k <= out[-1][1]:
-                    out[-1] = (out[-1][0], at + k + self.window)
+        begin = np.searchsorted(new.blank, found) - self.phrase + 1  # the phrase's first word
+        change = np.bincount(np.maximum(begin - (self.window - self.phrase), 0), minlength=n + self.window)
+        change = change - np.bincount(begin + 1, minlength=len(change))[: len(change)]
+        place, owner, local = new.whole(np.flatnonzero(np.cumsum(change)[:n] > 0))
+        slot = np.minimum(np.searchsorted(self.hashes, new.hashes[place]), len(self.hashes) - 1)
+        mine_doc, mine_at = doc[owner], at[owner] + local
+        earlier = (self.doc[slot] < mine_doc) | ((self.doc[slot] == mine_doc) & (self.at[slot] < mine_at))
+        same = np.flatnonzero((self.hashes[slot] == new.hashes[place]) & earlier)
+        place, owner, mine_at, there = place[same], owner[same], mine_at[same], self.place[slot[same]]
+        # Windows one after another in both texts are compared at once.
+        ends = np.flatnonzero((np.diff(place) != 1) | (np.diff(there) != 1))
+        out: list[tuple[int, int, int]] = []
+        for a, b in zip([0, *(ends + 1).tolist()], [*ends.tolist(), len(place) - 1], strict=True) if len(place) else ():
+            if new.cut(place[a], place[b]) == self.known.cut(there[a], there[b]):
+                runs = [(a, b)]
+            else:  # equal hashes of different words
+                runs = [(k, k) for k in range(a, b + 1) if new.cut(place[k], place[k]) == self.known.cut(there[k], there[k])]
+            for c, d in runs:
+                start, end = int(mine_at[c]), int(mine_at[d]) + self.window
+                if out and out[-1][0] == owner[c] and start <= out[-1][2]:
+                    out[-1] = (out[-1][0], out[-1][1], end)
                 else:
-                    out.append((at + k, at + k + self.window))
+                    out.append((int(owner[c]), start, end))
         return out
 
 
@@ -204,13 +251,19 @@ def _located(passages: DataFrame, stretches: DataFrame, window: int, shard_stret
         current, automaton = None, PhraseAutomaton(window)
         for pdf in batches:
             out: list[tuple] = []
-            for shard, copy, kind, row, doc, at, words in pdf.itertuples(index=False, name=None):
-                if (shard, copy) != current:
-                    current, automaton = (shard, copy), PhraseAutomaton(window)
-                if kind == 0:
-                    automaton.add(doc, at, words)
+            shard, copy, kind, doc, at = (pdf[c].to_numpy() for c in ("shard", "copy", "kind", "doc", "at"))
+            row, words = pdf["row"].tolist(), pdf["words"].tolist()
+            size = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) // SEARCHED_BYTES
+            changes = [np.diff(x) != 0 for x in (shard, copy, kind, size)]
+            ends = [*(np.flatnonzero(np.logical_or.reduce(changes)) + 1).tolist(), len(words)] if len(words) else []
+            for a, b in zip([0, *ends], ends, strict=False):
+                if (shard[a], copy[a]) != current:
+                    current, automaton = (shard[a], copy[a]), PhraseAutomaton(window)
+                if kind[a] == 0:
+                    for k in range(a, b):
+                        automaton.add(int(doc[k]), int(at[k]), words[k])
                 else:
-                    out += [(row, a, b) for a, b in automaton.repeats(doc, at, words)]
+                    out += [(row[a + k], start, end) for k, start, end in automaton.repeats(doc[a:b], at[a:b].astype(np.int64), words[a:b])]
             yield pd.DataFrame(out, columns=["row", "start", "end"])
 
     return dealt.mapInPandas(scan, "row binary, start int, end int")
