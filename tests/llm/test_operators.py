@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from candlewick.llm import bpe, decontaminate, html, pii, quality, secrets, simhash, substrings, tokens, vectors
+from candlewick.llm import bpe, copies, decontaminate, html, pii, quality, secrets, simhash, substrings, tokens, vectors
 from candlewick.llm.catalogue import QUERIES, TOKENIZER
 from candlewick.llm.components import connected
 from tests.oracle import connect, differences
@@ -326,6 +326,64 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert sum(t == "see [SECRET] there" for t in clean.values() if t) >= 50 and clean[100] == docs[60][1] and clean[1] is None
 
 
+# --- near copies ------------------------------------------------------------------------------------------------------
+
+
+def changed(text, share, rng):
+    return " ".join(f"new{rng.randrange(10**6)}" if rng.random() < share else w for w in text.split())
+
+
+def shingle_sets(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def near(a, b):
+    return a == b or len(a & b) >= 0.8 * len(a | b)
+
+
+def copied_documents():
+    rng, line = random.Random(12), prose(500, 30, 300)
+    docs = [(k, prose(200 + k, 250, 3000) + " " + line) for k in range(25)]
+    docs += [(100 + 40 * k + n, changed(docs[k][1], share, rng)) for k in range(25) for n, share in enumerate((0.002, 0.005, 0.01, 0.02, 0.022, 0.05))]
+    docs += [(5000 + k, changed(docs[0][1], 0.012, rng)) for k in range(30)] + [(None, changed(docs[1][1], 0.01, rng)), (None, prose(900, 200, 3000)), (3, prose(901, 90, 3000))]
+    return docs + [(None, docs[-2][1] + " end"), (3, docs[3][1])] + [(d, t) for d, t in ODD if t is None or t.isascii()]
+
+
+def components_of(docs):
+    sets = [shingle_sets(t) for _, t in docs]
+    root = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if root[i] != root[j] and near(sets[i], sets[j]):
+                root = [root[i] if r == root[j] else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_copies_link_from_similarity_0_8(spark, monkeypatch, rounds):
+    monkeypatch.setattr(copies, "ROUNDS", rounds)
+    docs = copied_documents()
+    frame = spark.createDataFrame(docs, DOCS)
+    groups = {}
+    for (d, t), r in zip(docs, components_of(docs), strict=True):
+        groups.setdefault(r, []).append((str(d), hashlib.md5((t or "").encode()).hexdigest()))
+    got = {}
+    for r in copies.near_copies(frame).collect():
+        got.setdefault(bytes(r.component), []).append((str(r.doc_id), r.tie.hex()))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark, sf_dir):
+    docs = copied_documents()
+    least = {}
+    for (d, t), r in zip(docs, components_of(docs), strict=True):
+        key = (d is None, d or 0, hashlib.md5((t or "").encode()).hexdigest())
+        least[r] = min(least.get(r, (key, d, t)), (key, d, t), key=lambda x: x[0])
+    got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(docs, DOCS), sf_dir)
+    assert sorted((str(r.doc_id), (r.text or "").strip()) for r in got.collect()) == sorted((str(d), (t or "").strip()) for _, d, t in least.values())
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------------
 
 
