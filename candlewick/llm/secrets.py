@@ -12,7 +12,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_CHARS = 6
 #: Strings to test: at least 20 characters of one unbroken run. Padding at the end isn't tested.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Encoding, the form that tells it, its alphabet in order, and how far above one (times its length) the chi-squared statistic of

@@ -326,6 +326,16 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert sum(t == "see [SECRET] there" for t in clean.values() if t) >= 50 and clean[100] == docs[60][1] and clean[1] is None
 
 
+def test_random_strings_after_an_equals_sign_are_found(spark):
+    rng = random.Random(18)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "client_key={}", "https://a.example.com/b?sig={}&v=1", "https://a.example.com/b?v=1&sig={}", "key= {}", 'key="{}"']
+    docs = [(k, forms[k % 6].format("".join(rng.choices(alphabet, k=40)))) for k in range(120)]
+    clean = {r.doc_id: r.text for r in secrets.redacted(spark.createDataFrame(docs, DOCS)).collect()}
+    for form in range(6):
+        assert sum(clean[k] == forms[form].format("[SECRET]") for k in range(form, 120, 6)) >= 16
+
+
 # --- near copies ------------------------------------------------------------------------------------------------------
 
 
