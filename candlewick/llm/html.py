@@ -20,11 +20,12 @@ PATH, WORDS, FIGURES, UNITS = 64, 32, 8, 16
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody "
-    "td tfoot th thead tr ul button textarea label iframe".split()
+    "td tfoot th thead tr ul button textarea label iframe noscript object".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|math|title|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"""<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>"'/]++|/(?!>)|"[^"]*+"|'[^']*+')*+/>"""
+    r"|<(script|style|template|svg|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
     re.DOTALL | re.IGNORECASE,
 )
@@ -86,7 +87,7 @@ def blocks(html: str | None) -> list[Block]:
             stack.pop()
         if tag not in VOID and not attributes.endswith("/"):
             marks = [p for _, value in _NAMES.findall(attributes) for p in _PARTS.findall(value.lower())]
-            stack.append((tag, (tag, *("." + p for p in marks[:8]))))
+            stack.append((tag, (tag, *("." + p for p in marks))))
     if len(source) > at:
         pieces.append(source[at:])
     end_block()
@@ -100,12 +101,12 @@ def _slot(token: str, size: int) -> tuple[int, float]:
 
 
 def block_features(page: list[Block]) -> np.ndarray:
-    """A row for each block: hashed names of the path (the last ones count most), hashed words, figures of shape and place."""
+    """A row for each block: hashed names of the whole path (each once, the last ones count most), hashed words, figures of shape and place."""
     x = np.zeros((len(page), PATH + WORDS + FIGURES), np.float32)
     for i, b in enumerate(page):
-        for k, name in enumerate(b.path[-16:][::-1]):
+        for k, name in enumerate(dict.fromkeys(reversed(b.path))):
             slot, sign = _slot(name, PATH)
-            x[i, slot] += sign / (1 + 0.1 * k)
+            x[i, slot] += sign / (1 + 0.1 * min(k, 16))  # far ancestors still count
         words = b.text.lower().split()
         for w in words:
             slot, sign = _slot(w.strip(".,:;!?()©"), WORDS)

@@ -148,6 +148,26 @@ def test_main_text_of_pages(spark):
     assert got[2] == got[3] == got[5] == ""
 
 
+@pytest.mark.parametrize("start", ["<svg-icon></svg-icon>", "<object-viewer>", "<title-bar></title-bar>", "<svg viewBox='0 > 0'/>", "<math/>", "<svg><text>5</text></svg>", "<template-x>", "<script-y/>"])
+def test_elements_that_only_look_skipped_swallow_nothing(start):
+    page = f"<header>{start}</header><article><p>Body</p></article><script>x('<p>no</p>')</script>"
+    assert [b.text for b in html.blocks(page)] == ["Body"]
+
+
+def test_text_of_math_object_and_noscript_reaches_the_model():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><object data='a'><p>In words.</p></object><noscript><p>No <b>script</b>.</p><style>p{}</style></noscript></article>"
+    found = html.blocks(page)
+    assert [b.text for b in found] == ["Let x=1 be.", "In words.", "No script."]
+    assert found[1].path == ("article", "object", "p") and found[2].path == ("article", "noscript", "p")
+
+
+def test_far_ancestors_and_late_class_names_reach_the_model():
+    deep = lambda top: html.block_features(html.blocks(f"<{top}>{'<div class=c><section>' * 20}Some words here."))
+    assert (deep("nav") != deep("main")).any()
+    late = lambda name: html.block_features(html.blocks(f"<div class='a b c d e f g h i {name}'>Some words here.</div>"))
+    assert (late("sidebar") != late("content")).any()
+
+
 def test_held_out_pages_are_labelled():
     rng, wrong, total = np.random.default_rng(2024), 0, 0
     for _ in range(100):
