@@ -31,44 +31,119 @@ FORMS = {
     "iban": r"\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b",
     "card": r"(?<![\d.])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w]|[.-]\d)",
-    "name": rf"\b(?:{_TITLE})\.?[ ]{_WORD}(?:[ ]{_WORD})?",
+    "phone": r"(?<![\w.])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w]|[.-]\d)"
+    r"|(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d|0\d)(?:[ .-]\d{2}){4}(?![\w]|[.-]\d)|\+\d{1,3}[ .-]?\d{6,12}(?![\w]|[.-]\d))",
+    "name": rf"\b(?:{_TITLE})\.?[ ]{_WORD}(?:[ ]{_WORD}){{0,2}}",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items()))
+_NOT_CARD = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items() if kind != "card"))
+_BARE = re.compile(rf"\b{_WORD}")
+_GENDER = {t: gender for gender, names in TITLES.items() for t in names}
 
 
 def _luhn(digits: str) -> int:
     return sum(sum(divmod(int(d) * 2, 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10
 
 
-def entities(text: str | None) -> list[tuple[int, int, str, str]]:
-    """Start, end, kind and normal form of each mention. Mentions of one entity have one normal form, however written."""
-    out = []
-    for m in FOUND.finditer(text or ""):
+def _digits(raw: str) -> str:
+    return "".join(c for c in raw if c.isdigit())
+
+
+def _checked(raw: str) -> str:
+    """The longest start of a card-like string, whole groups of it, that has a valid check digit; empty without one."""
+    ends = [len(raw), *(k for k in range(len(raw) - 1, 12, -1) if raw[k] in " -")]
+    return next((raw[:k] for k in ends if len(_digits(raw[:k])) >= 13 and not _luhn(_digits(raw[:k]))), "")
+
+
+def _name_words(m: re.Match) -> tuple[str, list[tuple[int, int, str]]]:
+    """Gender of a title, and the words of the name behind it: start, end and folded case."""
+    title, *words = m[0].split(" ")
+    at, found = m.start() + len(title) + 1, []
+    for w in words:
+        if w[0].isupper():
+            own = re.sub("['’]s$", "", w)
+            if w in _GENDER:
+                break
+            found.append((at, at + len(own), own.casefold()))
+            if own != w:
+                break
+        elif found:
+            break
+        at += len(w) + 1
+    return _GENDER[title.rstrip(".")], found
+
+
+def _family(word: str) -> str:
+    """Gender that a surname shows itself, in scripts whose languages inflect surnames; a Latin one shows none."""
+    latin = unicodedata.name(word[0], "LATIN").startswith("LATIN")
+    return "n" if latin else "f" if word[-1] in "аяαηυ" else "m"
+
+
+def entities(text: str | None) -> list[tuple[int, int, str, str, int]]:
+    """Start, end, kind, normal form, and one for the first part of a mention (zero for the others). Mentions of one entity have one normal
+    form, however written.
+
+    Names have a part for each word, so that a surname is the same behind any title and given name. Within a text, the words of titled
+    names are also found where they stand without a title, and given names take the gender that any title of theirs tells.
+    """
+    text = text or ""
+    out, people, at = [], [], 0
+    while m := FOUND.search(text, at):
         kind, raw, start = m.lastgroup, m[0], m.start()
-        digits = "".join(c for c in raw if c.isdigit())
-        if kind == "card" and _luhn(digits):
+        if kind == "card":
+            raw = _checked(raw)
+            if not raw:
+                m = _NOT_CARD.match(text, start)
+                if not m:
+                    at = start + 1
+                    continue
+                kind, raw = m.lastgroup, m[0]
+        at = start + len(raw)
+        if kind == "name":
+            gender, words = _name_words(m)
+            at = words[-1][1] if words else start + raw.index(" ")
+            if words:
+                people.append((gender, words))
             continue
+        digits = _digits(raw)
         if kind == "email":
             form = raw.lower()
         elif kind == "iban":
             form = raw.replace(" ", "")
         elif kind == "phone":
             form = digits[-10:]
-        elif kind == "name":
-            title, *rest = raw.split(" ")
-            rest = [w for w in rest if w[0].isupper()]
-            if not rest:
-                continue
-            gender = next(g for g, names in TITLES.items() if title.rstrip(".") in names)
-            start += len(title) + 1
-            raw = " ".join(rest)
-            if text[start : start + len(raw)] != raw:
-                raw = rest[0]
-            form = f"{gender}:{raw.casefold()}"
         else:
             form = digits if kind != "ip" else raw
-        out.append((start, start + len(raw), kind, form))
+        out.append((start, at, kind, form, 1))
+    return sorted(out + _names(text, people, out)) if people else out
+
+
+def _names(text: str, people: list[tuple[str, list[tuple[int, int, str]]]], others: list[tuple]) -> list[tuple[int, int, str, str, int]]:
+    """Parts of the titled names and of their words' mentions without a title."""
+    told: dict[str, set[str]] = {}
+    for gender, words in people:
+        for *_, w in words[:-1]:
+            told.setdefault(w, set()).add(gender)
+    only = {w: (genders - {"n"}).pop() if len(genders - {"n"}) == 1 else "n" for w, genders in told.items()}
+    known = {w: f"{gender}:{w}" for w, gender in only.items()} | {words[-1][2]: f"{_family(words[-1][2])}:{words[-1][2]}" for _, words in people}
+    out = []
+    for gender, words in people:
+        for k, (start, end, w) in enumerate(words):
+            form = known[w] if k == len(words) - 1 else f"{only[w] if gender == 'n' else gender}:{w}"
+            out.append((start, end, "name", form, int(k == 0)))
+    taken = sorted((s, e) for s, e, *_ in others + out)
+    last = -1
+    k = 0
+    for m in _BARE.finditer(text):
+        own = re.sub("['’]s$", "", m[0])
+        start, end = m.start(), m.start() + len(own)
+        if not own[0].isupper() or own.casefold() not in known:
+            continue
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if k == len(taken) or end <= taken[k][0]:
+            out.append((start, end, "name", known[own.casefold()], int(text[last:start] != " " or last < 0)))
+            last = end
     return out
 
 
@@ -184,13 +259,13 @@ def with_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataFram
     def mentions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(row, *e) for row, t in zip(pdf["row"], pdf["text"], strict=True) for e in entities(t)]
-            yield pd.DataFrame(out, columns=["row", "start", "end", "kind", "form"])
+            yield pd.DataFrame(out, columns=["row", "start", "end", "kind", "form", "lead"])
 
     texts = named.select(F.col("__row").alias("row"), F.col(text).alias("text"))
-    found = kept(texts.mapInPandas(mentions, "row binary, start int, end int, kind string, form string"), "mentions")
+    found = kept(texts.mapInPandas(mentions, "row binary, start int, end int, kind string, form string, lead int"), "mentions")
     table = surrogate_table(found, key)
     placed = found.distinct().join(table, ["kind", "form"])  # equal texts share a row
-    listed = placed.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("start", "end", "kind", "surrogate")).alias("__found"))  # bounded by the text
+    listed = placed.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("start", "end", "kind", "surrogate", "lead")).alias("__found"))  # bounded by the text
     joined = named.join(listed, "__row", "left").drop("__row")
     schema = docs.select(*columns).schema.add("n_entities", "long")
 
@@ -199,12 +274,12 @@ def with_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataFram
             texts, counts = [], []
             for t, all_found in zip(pdf[text], pdf.pop("__found"), strict=True):
                 done, at = [], 0
-                spans = sorted((e["start"], e["end"], e["kind"], e["surrogate"]) for e in all_found) if all_found is not None else []
-                for start, end, kind, value in spans:
+                spans = sorted((e["start"], e["end"], e["kind"], e["surrogate"], e["lead"]) for e in all_found) if all_found is not None else []
+                for start, end, kind, value, _ in spans:
                     done += [t[at:start], fitted(t[start:end], kind, value)]
                     at = end
                 texts.append("".join([*done, t[at:]]) if spans else t)
-                counts.append(len(spans))
+                counts.append(sum(lead for *_, lead in spans))
             yield pdf.assign(**{text: texts, "n_entities": counts})
 
     return joined.mapInPandas(rewrite, schema)

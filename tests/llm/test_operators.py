@@ -88,6 +88,38 @@ def test_surrogate_collisions_are_drawn_again(spark):
     assert len(table) == 400 == len({(k, s) for k, _, s in table}) and not real & {(k, s) for k, _, s in table}
 
 
+def test_names_are_one_entity_behind_any_title_and_without():
+    text = "Mr John Smith met Dr Smith and Dr John Smith. Smith's wife, Dr Anna Maria Weber, left; Weber and SMITH wrote to Mrs Anna Weber. Mr Smith Mr Jones, Dr von Berg."
+    forms = {}
+    for start, end, kind, form, _ in pii.entities(text):
+        assert kind == "name"
+        forms.setdefault(text[start:end].casefold(), []).append(form)
+    assert {w: (len(set(f)), len(f)) for w, f in forms.items()} == {"john": (1, 2), "smith": (1, 6), "anna": (1, 2), "maria": (1, 1), "weber": (1, 3), "jones": (1, 1), "berg": (1, 1)}
+    assert forms["john"] == ["m:john"] * 2 and forms["anna"] == ["f:anna"] * 2
+    assert sum(e[4] for e in pii.entities(text)) == 11
+
+
+def test_names_in_text_lose_no_letter(spark):
+    docs = spark.createDataFrame([(1, "Dr Anna Weber came. Weber said: ask Mr Smith's son, г-жа Иванова."), (2, "Mrs Weber")], DOCS)
+    got = {r.doc_id: (r.text, r.n_entities) for r in pii.with_surrogates(docs, b"k").collect()}
+    m = re.fullmatch(r"Dr (\w+) (\w+) came\. (\w+) said: ask Mr (\w+)'s son, г-жа (\w+)\.", got[1][0])
+    assert m and m[2] == m[3] and got[2] == (f"Mrs {m[2]}", 1) and got[1][1] == 4
+    assert not re.search("Anna|Weber|Smith|Иванова", got[1][0]) and m[5][-1] in "ая"
+
+
+@pytest.mark.parametrize("phone", ["+14155550123", "+1 4155550123", "06 12 34 56 78", "+33 6 12 34 56 78", "06.12.34.56.78", "456-555-2186"])
+def test_phones_of_other_forms_and_before_numbers(phone):
+    for k in range(10):
+        for text in (f"call {phone} now", f"call {phone} 1000{k} now"):
+            found = pii.entities(text)
+            assert found and found[0][0] == 5 and found[0][1] >= 5 + len(phone), text
+    assert [e[2:4] for e in pii.entities(f"call {phone}.")] == [("phone", re.sub(r"\D", "", phone)[-10:])]
+
+
+def test_card_before_a_number():
+    assert [e[2:4] for e in pii.entities("pay 4041 8949 7460 8795 123 now")][0] == ("card", "4041894974608795")
+
+
 # --- 2: decontamination ---------------------------------------------------------------------------------------
 
 
