@@ -67,16 +67,16 @@ def _anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _windows(held: DataFrame, window: int, anchor: int) -> DataFrame:
-    """Hash, document and start of each window whose anchor occurs elsewhere too, with the anchor's hash."""
+    """Hash, document, start and row's key of each window whose anchor occurs elsewhere too, with the anchor's hash."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             made, size = [], 0
-            for doc, text, places in zip(pdf["doc"], pdf["text"], pdf["places"], strict=True):
+            for doc, key, text, places in zip(pdf["doc"], pdf["key"], pdf["text"], pdf["places"], strict=True):
                 hashes = hash_words(split_words(text))
                 place, phrases = anchors(hashes, window, anchor)
                 start = np.flatnonzero(np.isin(place, places))
-                made.append((window_hashes(hashes, window)[start], np.full(len(start), doc, np.int64), start.astype(np.int32), route(phrases[place[start]])))
+                made.append((window_hashes(hashes, window)[start], np.full(len(start), doc, np.int64), start.astype(np.int32), np.full(len(start), key, np.int64), route(phrases[place[start]])))
                 size += len(start)
                 if size >= BATCH_WINDOWS:
                     yield _frame(made)
@@ -84,7 +84,7 @@ def _windows(held: DataFrame, window: int, anchor: int) -> DataFrame:
             if made:
                 yield _frame(made)
 
-    return held.select("doc", "text", "places").mapInPandas(scan, "hash long, doc long, start int, anchor int")
+    return held.select("doc", F.xxhash64("row").alias("key"), "text", "places").mapInPandas(scan, "hash long, doc long, start int, key long, anchor int")
 
 
 def route(phrases: np.ndarray) -> np.ndarray:
@@ -93,8 +93,8 @@ def route(phrases: np.ndarray) -> np.ndarray:
 
 
 def _frame(made: list[tuple]) -> pd.DataFrame:
-    hashed, doc, start, anchor = (np.concatenate(column) for column in zip(*made, strict=True))
-    return pd.DataFrame({"hash": hashed.view(np.int64), "doc": doc, "start": start, "anchor": anchor})
+    hashed, doc, start, key, anchor = (np.concatenate(column) for column in zip(*made, strict=True))
+    return pd.DataFrame({"hash": hashed.view(np.int64), "doc": doc, "start": start, "key": key, "anchor": anchor})
 
 
 def _stretches(held: DataFrame, shards: int, window: int, anchor: int) -> DataFrame:
@@ -122,8 +122,8 @@ def _runs(start: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _passages(held: DataFrame, firsts: DataFrame, shards: int, window: int) -> DataFrame:
-    """Recurring passages where they occur first: runs of consecutive confirmed windows of one document and shard."""
-    listed = firsts.groupBy("doc").agg(F.collect_list(F.struct("start", "anchor")).alias("firsts"))  # at most one for each word of the text
+    """Recurring passages where they occur first: runs of consecutive confirmed windows of one text and shard."""
+    listed = firsts.groupBy("key").agg(F.collect_list(F.struct("start", "anchor")).alias("firsts"))  # at most one for each word of the text
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -136,9 +136,8 @@ def _passages(held: DataFrame, firsts: DataFrame, shards: int, window: int) -> D
                 out += [(int(shard[a]), b"", doc, int(start[a]), b" ".join(words[start[a] : start[b] + window])) for a, b in _runs(start, shard)]
             yield pd.DataFrame(out, columns=["shard", "row", "doc", "at", "words"])
 
-    # Rows of one document number hold one text each; a passage is cut from the text whose rows sort first.
-    texts = held.groupBy("doc").agg(F.min("row").alias("row"))
-    joined = held.join(texts, ["doc", "row"]).join(listed, "doc").select("doc", "text", "firsts")
+    # Several texts may have one document number, null ones above all; a passage is cut from the text in which it was confirmed.
+    joined = held.withColumn("key", F.xxhash64("row")).join(listed, "key").select("doc", "text", "firsts")
     return joined.mapInPandas(scan, "shard long, row binary, doc long, at int, words binary")
 
 
@@ -275,7 +274,7 @@ def repeated_ranges(
     """``row`` (md5 of id and text), ``ranges`` (word ranges, may touch) for each distinct row with a word to remove: a word covered by a
     window of ``window`` words whose word sequence also starts earlier, at a smaller id or earlier in the same text.
 
-    Null ids sort first. Rows of one id and different texts don't make each other's windows repeats, as none is earlier; equal rows
+    Null ids sort first, and count as one id. Of the texts of one id, windows at smaller places are the earlier ones; equal rows
     are one. Texts of fewer words than a window, empty and null ones have no windows.
 
     Exact copies need no search: all windows of a later copy repeat. Of the other texts, the anchors (about two in fourteen words) are counted,
@@ -297,8 +296,8 @@ def repeated_ranges(
     release(spark)
     held = kept(named.join(places, "row").dropDuplicates(["row"]).select("row", "doc", "text", "places"), "held")
     release(spark)
-    confirmed = _windows(held, window, anchor).groupBy("hash").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n"), F.max("anchor").alias("anchor"))
-    firsts = kept(confirmed.filter("n > 1").select("first.doc", "first.start", "anchor"), "firsts")
+    confirmed = _windows(held, window, anchor).groupBy("hash").agg(F.min(F.struct("doc", "start", "key")).alias("first"), F.count(F.lit(1)).alias("n"), F.max("anchor").alias("anchor"))
+    firsts = kept(confirmed.filter("n > 1").select("first.key", "first.start", "anchor"), "firsts")
     release(spark)
     total = firsts.count()
     shards = max(1, -(-total // shard_stretches))

@@ -289,6 +289,27 @@ def test_repeats(spark, shard):
     assert rows(got.select("doc_id", "text", "n_words", "n_removed", "kept")) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("shard", [40_000, 3])
+def test_repeats_of_null_and_repeated_ids(spark, shard):
+    shared = [prose(600 + k, 60, 500) for k in range(8)]
+    docs = [(None, f"{prose(620 + k, 25 + k, 500)} {shared[k]} {prose(640 + k, 30, 500)}") for k in range(4)]
+    docs += [(7, f"{prose(660 + k, 25 + k, 500)} {shared[k]}") for k in range(4, 8)]
+    docs += [(50 + k, f"{prose(680 + k, 40, 500)} {shared[k]} {prose(700 + k, 20, 500)}") for k in range(8)] + [(None, f"{prose(720, 80, 500)} {shared[0]}")]
+    got = substrings.without_repeats(spark.createDataFrame(docs, DOCS), shard_stretches=shard)
+    order = lambda d: -(2**63) if d is None else d
+    split, first = [(order(d), t.split()) for d, t in docs], {}
+    for d, w in split:
+        for i in range(len(w) - 19):
+            key = tuple(w[i : i + 20])
+            first[key] = min(first.get(key, (d, i)), (d, i))
+    want = []
+    for (d, t), (o, w) in zip(docs, split, strict=True):
+        gone = {j for i in range(len(w) - 19) if first[tuple(w[i : i + 20])] < (o, i) for j in range(i, i + 20)}
+        want.append((d, t, len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    assert sum(x[3] >= 60 for x in want) == 9
+    assert rows(got.select("doc_id", "text", "n_words", "n_removed", "kept")) == sorted(want, key=str)
+
+
 # --- 8: SimHash -----------------------------------------------------------------------------------------------------
 
 
