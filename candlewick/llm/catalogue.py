@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import bpe, decontaminate, html, pii, quality, secrets, simhash, substrings, tokens, vectors
+from candlewick.llm import bpe, decontaminate, html, identity, pii, quality, secrets, simhash, substrings, tokens, vectors
 from candlewick.llm.common import read_table
 from candlewick.plans.catalogue.registry import Build, Query
 
@@ -156,3 +156,15 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_text("base"), 256).alias("base_sha256"),
         secrets.span_text("secrets").alias("spans"),
     )
+
+
+_LOWERED = _LOWER.format("text")
+
+IDENTITY_SQL = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM (SELECT doc_id, {_LOWERED} AS text FROM documents) WINDOW same AS (PARTITION BY text)"""
+
+
+@query("op13_exact_copies", IDENTITY_SQL)
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identity.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
