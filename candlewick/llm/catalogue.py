@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import bpe, decontaminate, html, identity, pii, quality, secrets, simhash, substrings, tokens, vectors
+from candlewick.llm import bpe, centroids, decontaminate, html, identity, pii, quality, secrets, simhash, substrings, tokens, vectors
 from candlewick.llm.common import read_table
 from candlewick.plans.catalogue.registry import Build, Query
 
@@ -168,3 +168,28 @@ FROM (SELECT doc_id, {_LOWERED} AS text FROM documents) WINDOW same AS (PARTITIO
 @query("op13_exact_copies", IDENTITY_SQL)
 def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _clustering_sql(clusters: int = 40, rounds: int = 5) -> str:
+    """Assignment and move, written out once per round."""
+    near = "SELECT vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM vec, c{k}) GROUP BY ALL"
+    parts = [
+        """vec AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v AS m FROM (SELECT v, sha256('2:' || vec_id) AS h FROM vec ORDER BY h LIMIT {clusters}))",
+    ]
+    for k in range(rounds):
+        parts.append(f"a{k} AS ({near.format(k=k)})")
+        parts.append(f"s{k} AS (SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{k}) GROUP BY c, j)")
+        parts.append(f"m{k} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM s{k} GROUP BY c)")
+        parts.append(f"c{k + 1} AS (SELECT c, coalesce(m{k}.m, c{k}.m) AS m FROM c{k} LEFT JOIN m{k} USING (c))")
+    parts.append(f"last AS ({near.format(k=rounds)})")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} USING (c)"""
+
+
+@query("op12_clusters", _clustering_sql())
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
