@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.llm import bpe, centroids, decontaminate, html, identity, pii, quality, secrets, simhash, substrings, tokens, vectors
+from candlewick.llm import alignment, bpe, centroids, decontaminate, html, identity, pii, quality, secrets, simhash, substrings, tokens, vectors
 from candlewick.llm.common import read_table
 from candlewick.plans.catalogue.registry import Build, Query
 
@@ -13,6 +13,7 @@ QUERIES: dict[str, Query] = {}
 
 #: The tokenizer file; a parameter of the operators. It is never copied.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Key of the surrogates. A real corpus takes a secret of its own.
 SURROGATE_KEY = b"candlewick sample key"
 
@@ -193,3 +194,8 @@ FROM last JOIN c{rounds} USING (c)"""
 @query("op12_clusters", _clustering_sql())
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op11_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(read_table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER, PIECES)[0]
