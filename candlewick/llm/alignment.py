@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -63,22 +64,28 @@ class Pair:
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("i", ids).tobytes()
+
     def tokens(self, segments: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """Tokens of each segment by both."""
-        found = [self.young.get(s) or self.old.get(s) for s in segments]
+        young, old, encode, cut, packed = self.young, self.old, self.merges.encode_ordinary, self.pieces_of.findall, self._packed
+        found = [young.get(s) or old.get(s) for s in segments]
         missing = [k for k, f in enumerate(found) if f is None]
-        encode = self.merges.encode_ordinary
         # The second tokenizer puts a space before a text that isn't empty: taken off here, or hidden before a line feed.
-        led = [len(segments[k]) > 1 and segments[k][0] == " " for k in missing]
-        seconds = self.pieces.encode([segments[k][1:] if own else "\n" + segments[k] for k, own in zip(missing, led, strict=True)], num_threads=1) if missing else []
-        for k, own, second in zip(missing, led, seconds, strict=True):
-            first = [i for piece in self.pieces_of.findall(segments[k]) for i in encode(piece)]
-            found[k] = (np.array(first, np.int32).tobytes(), np.array(second if own else second[2:], np.int32).tobytes())
-        for s, f in zip(segments, found, strict=True):
-            if len(s) <= REMEMBERED_CHARS:
-                self.young[s] = f
-        if len(self.young) > REMEMBERED:
-            self.young, self.old = {}, self.young
+        new = [segments[k] for k in missing]
+        led = [len(s) > 1 and s[0] == " " for s in new]
+        seconds = self.pieces.encode([s[1:] if own else "\n" + s for s, own in zip(new, led, strict=True)], num_threads=1) if new else []
+        for k, s, own, second in zip(missing, new, led, seconds, strict=True):
+            if own and s[1:].isalpha():  # letters behind a space are one piece
+                first = encode(s)
+            else:
+                first = [i for piece in cut(s) for i in encode(piece)]
+            found[k] = (packed(first), packed(second if own else second[2:]))
+        young.update(zip(segments, found, strict=True) if max(map(len, segments), default=0) <= REMEMBERED_CHARS else ((s, f) for s, f in zip(segments, found, strict=True) if len(s) <= REMEMBERED_CHARS))
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
         return _lists([f[0] for f in found]), _lists([f[1] for f in found])
 
 
@@ -100,14 +107,22 @@ def _ends(tokens: pa.ListArray, lengths: pa.Array) -> tuple[np.ndarray, np.ndarr
     return parents, ids.to_numpy(), running - before[parents]
 
 
-def _same(tokens: pa.ListArray, entries: pa.Array, texts: list[bytes]) -> np.ndarray:
+def _joined(values: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """All bytes of an array just taken, one value behind the other, and where each value begins and the last ends."""
+    _, offsets, data = values.buffers()
+    wide = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    return memoryview(data or b"").cast("B"), np.frombuffer(offsets, wide, len(values) + 1) if len(values) else np.zeros(1, wide)
+
+
+def _same(tokens: pa.ListArray, entries: pa.Array, texts: pa.Array) -> np.ndarray:
     """Whether the bytes of each list's tokens are its text."""
-    joined = pc.take(entries, pc.list_flatten(tokens))
-    flat = b"".join(joined.to_pylist())
-    if flat == b"".join(texts) and len(texts) == 1:
-        return np.ones(1, bool)
-    at = np.concatenate([[0], np.cumsum(pc.binary_length(joined).to_numpy())])[tokens.offsets.to_numpy()].tolist()
-    return np.fromiter((flat[a:b] == t for a, b, t in zip(at[:-1], at[1:], texts, strict=True)), bool, len(texts))
+    flat, at = _joined(pc.take(entries, pc.list_flatten(tokens)))
+    at = at[tokens.offsets.to_numpy()]
+    raw, of = _joined(texts)
+    if np.array_equal(at, of) and flat[: at[-1]] == raw[: of[-1]]:
+        return np.ones(len(texts), bool)
+    pairs = zip(at[:-1].tolist(), at[1:].tolist(), of[:-1].tolist(), of[1:].tolist(), strict=True)
+    return np.fromiter((flat[a:b] == raw[c:d] for a, b, c, d in pairs), bool, len(texts))
 
 
 @dataclass
@@ -120,14 +135,14 @@ class Aligned:
     written: pa.Array
 
 
-def align(both: Pair, segments: list[str]) -> Aligned:
+def align(both: Pair, segments: pa.Array) -> Aligned:
     """Alignment of each segment.
 
     Tokens of both kinds meet in a full outer hash join on segment and end. In order of the ends, each row is one link: the
     first token of either kind that ends there or later covers the bytes up to it. Rows found on both sides end a group.
     """
-    raw = [s.encode() for s in segments]
-    first, second = both.tokens(segments)
+    first, second = both.tokens(segments.to_pylist())
+    raw = pc.take(segments.cast(pa.large_binary()), pa.array(np.arange(len(segments))))
     right = _same(first, both.a_bytes, raw) & _same(second, both.b_bytes, raw)
     if not right.all():  # nothing of them is counted, and their documents have no tokens
         keep = pa.array(right)
@@ -154,13 +169,10 @@ def align(both: Pair, segments: list[str]) -> Aligned:
         codes.append(ids + both.starts[2 * side + last.astype(np.int64)])
         groups.append(group * 2 + side)
     order = np.argsort(np.concatenate(groups), kind="stable")
-    text = pc.take(both.written, pa.array(np.concatenate(codes)[order]))
-    at = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy())])
+    flat, at = _joined(pc.take(both.written, pa.array(np.concatenate(codes)[order])))
     counts = {"n_a": pc.list_value_length(first).to_numpy(), "n_b": pc.list_value_length(second).to_numpy(), "n_groups": np.bincount(parent[shared], minlength=n), "n_links": n_links}
     counts = {k: v.astype(np.int64) for k, v in counts.items()}
-    tokens_before = np.concatenate([[0], np.cumsum(counts["n_a"] + counts["n_b"])])
-    flat = b"".join(text.to_pylist())
-    bounds = at[tokens_before].astype(np.int64)
+    bounds = at[np.concatenate([[0], np.cumsum(counts["n_a"] + counts["n_b"])])]
     written = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(flat)])
     return Aligned(right, counts, links, written)
 
@@ -209,14 +221,12 @@ def _add(both: Pair, parts: list[tuple[int, str]], documents: dict[int, Document
     """Add parts of texts to their documents."""
     cut = [both.segment.findall(part) for _, part in parts]
     listed = pa.array([s for c in cut for s in c], pa.large_string()).dictionary_encode()
-    found = align(both, listed.dictionary.to_pylist())
+    found = align(both, listed.dictionary)
     index = listed.indices.to_numpy()
     stops = np.concatenate([[0], np.cumsum([len(c) for c in cut])])
     sums = {name: np.concatenate([[0], np.cumsum(v[index])]) for name, v in found.counts.items()}
     wrong = np.concatenate([[0], np.cumsum(~found.right[index])])
-    written = pc.take(found.written, listed.indices)
-    flat = memoryview(written.buffers()[2] or b"")
-    at = np.frombuffer(written.buffers()[1], np.int64)
+    flat, at = _joined(pc.take(found.written, listed.indices))
     part_of = np.repeat(np.arange(len(parts)), np.diff(sums["n_links"][stops]))
     width = len(both.a_bytes) * both.n_b
     key = part_of * width + pc.list_flatten(pc.take(found.links, listed.indices)).to_numpy()
