@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
 
@@ -43,3 +43,10 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to the shared folder and read from there: computed once, whatever executors are lost."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

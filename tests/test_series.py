@@ -59,15 +59,74 @@ def test_blocked_frames_equal_whole_frames(spark, ticks, block_rows, bucket):
 def test_blocks_are_bounded(spark, ticks):
     df = spark.createDataFrame(ticks)
     parts, _ = split(df, TICKS, F.date_trunc("minute", "timestamp"), halo=5, block_rows=50)
-    largest_bucket = ticks.groupby(["symbol", ticks["timestamp"].dt.floor("min")]).size().max()
     sizes = parts.filter("_main").groupBy("_group").count().toPandas()
     chosen, _ = split(df, TICKS, block_rows=400)
     groups = [r["count"] for r in chosen.groupBy("_group").count().collect()]
     assert sum(groups) == len(ticks) and max(groups) < 600 and len(groups) > 8
-    assert sizes["count"].max() <= 50 + largest_bucket
+    assert sizes["count"].max() <= 2 * 50
     assert sizes["count"].sum() == len(ticks)
 
 
+def _uneven(instant: int = 20_000) -> pd.DataFrame:
+    """One key with an outlier of 1970, a burst within a second, many rows at one instant, missing times, and sparse rows."""
+    start = pd.Timestamp("2024-01-01")
+    times = [pd.Timestamp("1970-01-01"), *[start + pd.Timedelta(days=k) for k in range(300)]]
+    times += [start + pd.Timedelta(microseconds=50 * k) for k in range(15_000)] + [start + pd.Timedelta(hours=7)] * instant + [pd.NaT] * 3_000
+    frame = pd.DataFrame({"symbol": "hot", "timestamp": times, "price": np.arange(len(times)) % 97 + 1.0})
+    return frame.assign(seq=np.random.default_rng(5).permutation(len(times)))
+
+
+@pytest.mark.parametrize("block_rows", [1_000, 5_000])
+def test_blocks_are_bounded_whatever_the_density(spark, block_rows):
+    frame = _uneven()
+    df = spark.createDataFrame(frame)
+    parts, _ = split(df, TICKS, halo=20, block_rows=block_rows)
+    sizes = parts.groupBy("_group").agg(F.count("*").alias("all"), F.sum(F.col("_main").cast("int")).alias("main")).toPandas()
+    assert sizes["main"].sum() == len(frame)
+    assert sizes["main"].max() <= 2 * block_rows and sizes["all"].max() <= 2.25 * block_rows
+    assert len(sizes) >= len(frame) / (2 * block_rows)
+    bounds = parts.filter("_main").groupBy("_group._block").agg(F.min(F.struct("timestamp", "seq")).alias("a"), F.max(F.struct("timestamp", "seq")).alias("b"))
+    listed = [(r.a, r.b) for r in bounds.orderBy("_block").collect()]
+    order = lambda x: (x.timestamp is not None, x.timestamp or 0, x.seq)
+    assert all(order(x[1]) < order(y[0]) for x, y in zip(listed, listed[1:]))
+
+
+def test_frames_over_uneven_series_equal_whole_frames(spark):
+    frame = _uneven(4_000).sort_values(["timestamp", "seq"], na_position="first").reset_index(drop=True)
+    df = spark.createDataFrame(frame)
+    mine = ind.tick_indicators(df, TICKS, n=20, block_rows=1_000).toPandas().sort_values(["timestamp", "seq"], na_position="first")
+    np.testing.assert_allclose(mine["MA_20"], frame["price"].rolling(20, min_periods=1).mean(), rtol=1e-12)
+    total = running_total(df, {"t": F.col("price")}, TICKS, rows=500).toPandas().sort_values(["timestamp", "seq"], na_position="first")
+    np.testing.assert_allclose(total["t"], frame["price"].cumsum(), rtol=1e-12)
+
+
+def test_rows_without_any_order_stay_together(spark):
+    rows = [("a", dt.datetime(2024, 1, 1), 7, 1.0)] * 50
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, seq long, price double")
+    parts, _ = split(df, TICKS, block_rows=10)
+    assert parts.count() == 50
+    named = Series(key=("symbol",), order=("price", "symbol"))
+    assert split(df, named, block_rows=10)[0].count() == 50
+    with pytest.raises(ValueError):
+        split(df, Series(key=("symbol",), order=("symbol",)))
+
+
+def test_crowded_cells_alone_are_scanned_again(spark, tmp_path, ticks):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(ticks).write.parquet(path)
+    seen = []
+    from candlewick import series as module
+
+    original = module._histogram
+    module._histogram = lambda rows, *rest: seen.append(rows) or original(rows, *rest)
+    try:
+        split(spark.read.parquet(path), TICKS, block_rows=100_000)
+    finally:
+        module._histogram = original
+    assert len(seen) == 1  # even data: one scan to count, one to place
+    assert set(seen[0].columns) == {"symbol", "_cell", "timestamp", "seq"}
+
+
 def test_split_keeps_null_keys(spark):
     rows = [(None, dt.datetime(2024, 1, 1, 0, i), i, float(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "symbol string, timestamp timestamp, seq long, price double")
