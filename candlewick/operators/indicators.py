@@ -79,34 +79,22 @@ def ema(df: DataFrame, spans: Sequence[int] = EMA_SPANS, price: str = "close", s
     return carried_ema(df, wanted, series)
 
 
-def _macd_terms(price: str, fast: int, slow: int, signal: int) -> dict[str, tuple[Column, float]]:
-    return {f"_ema_{n}": (F.col(price), span_alpha(n)) for n in (fast, slow, signal)}
-
-
-def _smoothed(inner: str, inner_span: int, outer: str, outer_span: int) -> Column:
-    """EMA of an EMA of one input, from the two plain EMAs (both seeded with the same first value)."""
-    a, c = span_alpha(inner_span), span_alpha(outer_span)
-    return (a * (1 - c) * F.col(outer) - c * (1 - a) * F.col(inner)) / F.lit(a - c)
-
-
-def macd_columns(
-    fast: str = "_ema_12", slow: str = "_ema_26", outer: str = "_ema_9", spans: tuple[int, int, int] = (12, 26, 9)
-) -> dict[str, Column]:
-    """Line, signal and histogram from the plain EMAs of the price."""
-    line = F.col(fast) - F.col(slow)
-    signal = _smoothed(fast, spans[0], outer, spans[2]) - _smoothed(slow, spans[1], outer, spans[2])
-    return {"MACD": line, "MACD_signal": signal, "MACD_hist": line - signal}
+def macd_columns(line: Column, signal: str) -> dict[str, Column]:
+    return {"MACD": line, "MACD_signal": F.col(signal), "MACD_hist": line - F.col(signal)}
 
 
 def macd(
     df: DataFrame, fast: int = 12, slow: int = 26, signal: int = SIGNAL_SPAN, price: str = "close", series: Series = DAILY
 ) -> DataFrame:
+    """Difference of two averages of the price, its own average, and the difference of both. Where a price is missing, the line stands still
+    and the signal goes on towards it."""
     if signal in (fast, slow):
         raise ValueError("the signal span must differ from the fast and slow spans")
-    out = carried_ema(df, _macd_terms(price, fast, slow, signal), series)
-    columns = macd_columns(f"_ema_{fast}", f"_ema_{slow}", f"_ema_{signal}", (fast, slow, signal))
-    keep = [c for c in out.columns if not c.startswith("_ema_")]
-    return out.select(*keep, *[c.alias(n) for n, c in columns.items()])
+    numbered = df.select("*", *ema_inputs(series))
+    averages = carried_ema(numbered, {"_fast": (F.col(price), span_alpha(fast)), "_slow": (F.col(price), span_alpha(slow))}, series)
+    line = F.col("_fast") - F.col("_slow")
+    out = carried_ema(averages, {"_signal": (line, span_alpha(signal))}, series)
+    return out.select(*df.columns, *[c.alias(n) for n, c in macd_columns(line, "_signal").items()])
 
 
 def _moves(price: Column, before: Column) -> tuple[Column, Column]:
@@ -244,12 +232,19 @@ HALO = max(max(SMA_LENGTHS), STOCHASTIC[0] + STOCHASTIC[1], ROC_LENGTH + 1, ATR_
 
 def _averages() -> dict[str, tuple[Column, float]]:
     wanted = {f"EMA_{span}": (F.col("close"), span_alpha(span)) for span in EMA_SPANS}
-    wanted["_ema_signal"] = (F.col("close"), span_alpha(SIGNAL_SPAN))
     wanted["_avg_gain"] = (F.col("_gain"), 1.0 / RSI_LENGTH)
     wanted["_avg_loss"] = (F.col("_loss"), 1.0 / RSI_LENGTH)
     return wanted
 
 
+def _line() -> Column:
+    return F.col("EMA_12") - F.col("EMA_26")
+
+
+def _signal() -> dict[str, tuple[Column, float]]:
+    return {"_signal_line": (_line(), span_alpha(SIGNAL_SPAN))}
+
+
 def _totals() -> dict[str, Column]:
     return {"OBV": F.col("_signed"), "_traded": typical_price() * F.col("volume"), "_shares": F.col("volume")}
 
@@ -258,7 +253,7 @@ def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> Data
     width = BOLLINGER[1]
     final = df.select(
         "*",
-        *[c.alias(name) for name, c in macd_columns("EMA_12", "EMA_26", "_ema_signal").items()],
+        *[c.alias(name) for name, c in macd_columns(_line(), "_signal_line").items()],
         rsi_column("_avg_gain", "_avg_loss").alias("RSI"),
         F.col("MA_20").alias("BB_middle"),
         (F.col("MA_20") + width * F.col("_sd")).alias("BB_upper"),
@@ -279,7 +274,8 @@ def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | N
     """
     running = [F.sum(value).over(series.running()).alias(name) for name, value in _totals().items()]
     rows = _trailing(df, series).select("*", *running, *ema_inputs(series))
-    return _finished(carried_ema(rows, _averages(), series), series, keep)
+    averages = carried_ema(rows, _averages(), series)
+    return _finished(carried_ema(averages, _signal(), series), series, keep)
 
 
 def indicator_set_any_size(
@@ -292,7 +288,8 @@ def indicator_set_any_size(
     """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block."""
     parts, blocked = split(df, series, bucket, halo=HALO, block_rows=block_rows)
     rows = _trailing(parts, blocked).filter(MAIN).drop(MAIN)
-    return _finished(over_blocks(rows, blocked, _averages(), _totals()).drop(GROUP), series, keep)
+    averages = over_blocks(rows, blocked, _averages(), _totals())
+    return _finished(over_blocks(averages, blocked, _signal()).drop(GROUP), series, keep)
 
 
 def tick_indicators(

@@ -88,6 +88,35 @@ def rsi(spark, d):
     return _shown(ind.rsi(inputs.bars(spark, d)), ["RSI"])
 
 
+def _gap_ema_sql(alpha: str) -> str:
+    """The same where rows may lack a value: one step over the known values, whose weights decay over the gaps."""
+    step = f"lambda a, x: {{{{'y': (pow(1 - {alpha}, x.s) * a.y + {alpha} * x.y) / (pow(1 - {alpha}, x.s) + {alpha}), 's': x.s}}}}"
+    return f"list_reduce(list({{{{'y': close, 's': CAST(steps AS DOUBLE)}}}}) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING), {step}).y".replace("{{", "{").replace("}}", "}")
+
+
+_WEEKDAY = "date_diff('day', DATE '1970-01-01', date) % 7 = 3"
+_GAPS = ["EMA_12", "EMA_200", "MACD", "MACD_signal", "RSI"]
+
+
+@query(
+    "averages_with_gaps",
+    f"""WITH {inputs.BARS}, gappy AS (SELECT ticker, date, CASE WHEN {_WEEKDAY} THEN NULL ELSE close END AS close,
+    row_number() OVER (PARTITION BY ticker ORDER BY date) AS n FROM bars),
+known AS (SELECT ticker, date, close, n - coalesce(lag(n) OVER w, n) AS steps FROM gappy WHERE close IS NOT NULL {_W}),
+average AS (SELECT ticker, date, {", ".join(f"{_gap_ema_sql(f'(2.0::DOUBLE / {n + 1})')} AS e{n}" for n in (12, 26, 200))} FROM known),
+carried AS (SELECT ticker, date, close, {", ".join(f"last_value(e{n} IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS EMA_{n}" for n in (12, 26, 200))}
+  FROM gappy LEFT JOIN average USING (ticker, date)),
+line AS (SELECT ticker, date, {_ema_sql('EMA_12 - EMA_26', '0.2::DOUBLE')} AS MACD_signal FROM carried WHERE EMA_12 IS NOT NULL),
+{_RSI_SQL.format(source='carried')}, x AS (SELECT rsi.*, EMA_12 - EMA_26 AS MACD, MACD_signal FROM rsi LEFT JOIN line USING (ticker, date))
+{_select(_GAPS, 'x', 4)}""",
+)
+def averages_with_gaps(spark, d):
+    """Bars that lack the price of every Sunday."""
+    missing = F.pmod(F.unix_date("date"), F.lit(7)) == 3
+    bars = inputs.bars(spark, d).withColumn("close", F.when(~missing, F.col("close")))
+    return _shown(ind.rsi(ind.macd(ind.ema(bars, [12, 200]))), _GAPS, 4)
+
+
 _STOCH_SQL = f"(close - {_trail('min(low)', 14)}) / nullif({_trail('max(high)', 14)} - {_trail('min(low)', 14)}, 0) * 100"
 
 

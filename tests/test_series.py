@@ -171,6 +171,63 @@ def test_ema_over_many_chunks(spark):
     np.testing.assert_allclose(mine["slow"], pd.Series(price).ewm(alpha=0.01, adjust=False).mean(), rtol=1e-12)
 
 
+def _with_gaps(n=1_500, seed=2):
+    rng = np.random.default_rng(seed)
+    price = rng.uniform(1, 9, n)
+    price[::7] = np.nan
+    price[300:700] = np.nan
+    price[1_000:1_400] = np.where(rng.uniform(size=400) < 0.95, np.nan, price[1_000:1_400])
+    return pd.DataFrame({"ticker": "a", "date": np.arange(n), "close": price})
+
+
+def _none(frame):
+    return frame.astype(object).where(frame.notna(), None)
+
+
+@pytest.mark.parametrize("block_rows", [None, 64, 500])
+def test_ema_with_gaps(spark, block_rows):
+    frame = _with_gaps()
+    df = spark.createDataFrame(_none(frame), "ticker string, date int, close double")
+    wanted = {f"E{k}": (F.col("close"), a) for k, a in enumerate((0.9, 0.3, 0.05, 0.004))}
+    days = Series(key=("ticker",), order=("date",))
+    out = carried_ema(df, wanted) if block_rows is None else ema_any_size(df, wanted, days, block_rows=block_rows)
+    mine = out.toPandas().sort_values("date").reset_index(drop=True)
+    for name, (_, a) in wanted.items():
+        expected = frame["close"].ewm(alpha=a, adjust=False).mean()
+        assert mine[name].isna().tolist() == expected.isna().tolist()
+        np.testing.assert_allclose(mine[name], expected, rtol=1e-10)
+
+
+def test_series_without_any_value(spark):
+    df = spark.createDataFrame([("a", k, None) for k in range(40)] + [("b", 39, 2.0), ("b", 1, None)], "ticker string, date int, close double")
+    days = Series(key=("ticker",), order=("date",))
+    for out in (carried_ema(df, {"e": (F.col("close"), 0.5)}), ema_any_size(df, {"e": (F.col("close"), 0.5)}, days, block_rows=8)):
+        assert {r.e for r in out.filter("ticker = 'a'").collect()} == {None}
+        assert [r.e for r in out.filter("ticker = 'b'").orderBy("date").collect()] == [None, 2.0]
+
+
+@pytest.mark.parametrize("block_rows", [None, 300])
+def test_macd_and_rsi_with_gaps(spark, block_rows):
+    frame = _with_gaps().iloc[:1_200]
+    bars = _none(frame.assign(open=1.0, high=10.0, low=0.5, volume=1.0))
+    df = spark.createDataFrame(bars, "ticker string, date int, close double, open double, high double, low double, volume double")
+    days = Series(key=("ticker",), order=("date",))
+    if block_rows is None:
+        out = ind.rsi(ind.macd(df))
+    else:
+        out = ind.indicator_set_any_size(df, days, keep=["MACD", "MACD_signal", "MACD_hist", "RSI"], block_rows=block_rows)
+    mine = out.toPandas().sort_values("date").reset_index(drop=True)
+    close = frame["close"]
+    line = close.ewm(span=12, adjust=False).mean() - close.ewm(span=26, adjust=False).mean()
+    signal = line.ewm(span=9, adjust=False).mean()
+    delta = close.diff()
+    up, down = (x.ewm(alpha=1 / 14, adjust=False).mean() for x in (delta.where(delta > 0, 0.0), (-delta).where(delta < 0, 0.0)))
+    for name, expected in (("MACD", line), ("MACD_signal", signal), ("MACD_hist", line - signal)):
+        np.testing.assert_allclose(mine[name], expected, rtol=1e-8, atol=1e-10)
+    known = down > 0
+    np.testing.assert_allclose(mine["RSI"][known], (100 - 100 / (1 + up / down))[known], rtol=1e-9)
+
+
 def test_ema_rejects_bad_alpha():
     with pytest.raises(ValueError):
         chunk_rows([1.0])
