@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewick.functions.timefn import bucket_start
+from candlewick.functions.timefn import bucket_start, month_key
 
 CANDLE = ["symbol", "time_bucket", "open", "high", "low", "close", "volume"]
 
@@ -90,8 +90,15 @@ def quote_candles(quotes: DataFrame, width: str = "minute", seq: str | None = No
     return quote_partials(quotes, width, seq).select(*CANDLE)
 
 
+def month_number(moment: datetime | str) -> Column:
+    """The month of a time as month-partitioned tables have it. A constant, so that the planner leaves folders out."""
+    return month_key(F.lit(moment).cast("timestamp")).cast("int")
+
+
 def between(df: DataFrame, start: datetime | str, end: datetime | str, symbol: str | None = None) -> DataFrame:
-    """Rows of a closed time range, of one symbol if given. Plain predicates, so they reach the scan."""
+    """Rows of a closed time range, of one symbol if given. Plain predicates, so they reach the scan; a month column ``ym`` is tested too."""
+    if "ym" in df.columns:
+        df = df.filter(F.col("ym").between(month_number(start), month_number(end)))
     kept = df.filter(F.col("timestamp").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
     return kept if symbol is None else kept.filter(F.col("symbol") == symbol)
 

@@ -12,6 +12,7 @@ from candlewick.plans.catalogue.registry import query, rounded, rounded_sql, scr
 from candlewick.session import shared_dir
 from candlewick.sources.landing import quotes
 from candlewick.streaming import decode, live
+from candlewick.streaming.store import CandleStore, StateStore
 
 _CANDLE_SQL = """symbol, date_trunc('{unit}', timestamp) AS time_bucket, arg_min(price, row(timestamp, seq)) AS open,
   max(price) AS high, min(price) AS low, arg_max(price, row(timestamp, seq)) AS close, sum(volume) AS volume"""
@@ -195,7 +196,7 @@ WHERE c.op <> 'd'""",
 )
 def current_state(spark, d):
     """Last image per symbol after all changes, deletes removed."""
-    e = decode.json_envelopes(inputs.change_events(spark, d)).drop(decode.CORRUPT)
+    e, _ = decode.split_broken(decode.json_envelopes(inputs.change_events(spark, d)))
     empty = e.select("after.*").limit(0)
     return live.applied(empty, e, "symbol", ["seq"])
 
@@ -203,10 +204,12 @@ def current_state(spark, d):
 # --- streams: file source, all available data, results read back from the sink ----------------------------
 
 
-def _landed_changes(spark: SparkSession, d: str) -> str:
-    """Change events as text files, as a capture tool would leave them."""
+def _landed_changes(spark: SparkSession, d: str, files: int | None = None) -> str:
+    """Change events as text files, as a capture tool would leave them; dealt over ``files`` in no order, if given."""
     path = shared_dir(spark, "changes")
-    inputs.change_events(spark, d).select("payload").write.text(path)
+    events = inputs.change_events(spark, d)
+    dealt = events if files is None else events.repartition(files, F.xxhash64("seq"))
+    dealt.select("payload").write.text(path)
     return path
 
 
@@ -218,11 +221,45 @@ SELECT {_CANDLE_SQL.format(unit="hour")} FROM t GROUP BY ALL""",
 )
 def live_candles_stream(spark, d):
     """Change stream to partial candles, several files per batch, then the merged view."""
-    out, seen = shared_dir(spark, "partials"), shared_dir(spark, "checkpoint")
+    out, rejects, seen = (shared_dir(spark, name) for name in ("partials", "rejects", "checkpoint"))
     stream = decode.json_envelopes(decode.file_stream(spark, _landed_changes(spark, d), files_per_batch=2))
-    ticks = decode.tick_rows(stream.drop(decode.CORRUPT), keep=[F.col("after.id").cast("long").alias("seq")])
-    live.start(ticks, live.partial_sink(out, "hour"), seen).awaitTermination()
-    return live.stored_candles(spark.read.parquet(out))
+    store = live.partial_sink(out, "hour")
+    live.start(stream, live.guarded_sink(lambda batch, i: store(_numbered_ticks(batch), i), rejects), seen).awaitTermination()
+    return cd.read_candles(spark.read.parquet(out))
+
+
+def _numbered_ticks(envelopes: DataFrame) -> DataFrame:
+    return decode.tick_rows(envelopes, keep=[F.col("after.id").cast("long").alias("seq")])
+
+
+def _candle_store(spark: SparkSession, d: str) -> CandleStore:
+    """Hourly candles of the change stream: nine batches in no order, merged three at a time."""
+    store, rejects = CandleStore(spark, shared_dir(spark, "candles"), "hour", fan=3), shared_dir(spark, "rejects")
+    stream = decode.json_envelopes(decode.file_stream(spark, _landed_changes(spark, d, 9), files_per_batch=1))
+    sink = store.candle_sink()
+    each = live.guarded_sink(lambda batch, i: sink(_numbered_ticks(batch), i), rejects)
+    live.start(stream, each, shared_dir(spark, "checkpoint")).awaitTermination()
+    return store
+
+
+_STORED = f"""WITH {inputs.CHANGES}, t AS (
+  SELECT symbol, price, volume, date_trunc('second', timestamp) AS timestamp, seq FROM changes WHERE op IN ('c', 'r'))"""
+
+
+@query("compacted_candles", f"{_STORED} SELECT {_CANDLE_SQL.format(unit='hour')} FROM t GROUP BY ALL")
+def compacted_candles(spark, d):
+    """Candle states of many batches after background merging."""
+    return _candle_store(spark, d).candles()
+
+
+@query(
+    "stored_candles_in_range",
+    f"""{_STORED}, c AS (SELECT {_CANDLE_SQL.format(unit='hour')} FROM t GROUP BY ALL)
+SELECT * FROM c WHERE symbol = 'click' AND time_bucket BETWEEN TIMESTAMP '2024-01-03 04:00:00' AND TIMESTAMP '2024-01-20 12:00:00'""",
+)
+def stored_candles_in_range(spark, d):
+    """Stored candles of a symbol: the months of the range are the only folders read."""
+    return _candle_store(spark, d).candles("2024-01-03 04:20:00", "2024-01-20 12:59:00", "click")
 
 
 @query(
@@ -279,28 +316,44 @@ SELECT CAST(c.seq AS INTEGER) AS id, c.symbol, c.price FROM changes c JOIN newes
 WHERE c.op <> 'd'""",
 )
 def state_stream(spark, d):
-    """Current-state table kept by a stream of changes."""
-    lake = scratch_lake(spark)
-    stream = decode.json_envelopes(decode.file_stream(spark, _landed_changes(spark, d))).drop(decode.CORRUPT)
-    keyed = stream.withColumn("at", F.coalesce("after.id", "before.id"))
-    sink = live.state_sink(lake, "silver.state", "symbol", ["at"])
-    live.start(keyed, sink, shared_dir(spark, "checkpoint")).awaitTermination()
-    return lake.read("silver.state").select("id", "symbol", "price")
+    """Current state kept by a stream of changes that come in no order, in five batches."""
+    store, rejects = StateStore(spark, shared_dir(spark, "state"), "symbol", ["at"], fan=2), shared_dir(spark, "rejects")
+    stream = decode.json_envelopes(decode.file_stream(spark, _landed_changes(spark, d, 5), files_per_batch=1))
+    sink = store.change_sink()
+    ordered = lambda batch: batch.withColumn("at", F.coalesce("after.id", "before.id"))
+    each = live.guarded_sink(lambda batch, i: sink(ordered(batch), i), rejects)
+    live.start(stream, each, shared_dir(spark, "checkpoint")).awaitTermination()
+    return store.current().select("id", "symbol", "price")
+
+
+@query(
+    "quote_table_stream",
+    f"""WITH {inputs.CHANGES} SELECT symbol, price AS current_price, price AS high, price AS previous_close, timestamp,
+  CAST(strftime(timestamp, '%Y%m') AS INTEGER) AS ym FROM changes WHERE op = 'c' AND symbol <> ''""",
+)
+def quote_table_stream(spark, d):
+    """Nested quote changes as a stream into the month-partitioned quote table."""
+    landed, out, rejects, seen = (shared_dir(spark, name) for name in ("topic", "quotes", "rejects", "checkpoint"))
+    _topic_payloads(spark, d).select("payload").write.text(landed)
+    stream = decode.topic_envelopes(decode.file_stream(spark, landed), _RECORD)
+    table = live.tick_sink(out)
+    live.start(stream, live.guarded_sink(lambda batch, i: table(decode.quote_rows(batch), i), rejects), seen).awaitTermination()
+    return spark.read.parquet(out).select("symbol", "current_price", "high", "previous_close", "timestamp", "ym")
 
 
 @query(
     "quote_candles_stream",
-    f"""WITH {inputs.TICKS}, q AS (SELECT symbol, price, volume, date_trunc('second', timestamp) AS timestamp FROM ticks WHERE price <> 0),
-b AS (SELECT symbol, date_trunc('hour', timestamp) AS time_bucket, max(price + volume) AS high, min(price - volume) AS low,
-  count(*) AS volume FROM q GROUP BY ALL)
-SELECT symbol, time_bucket, {rounded_sql("high", 4)}, {rounded_sql("low", 4)}, volume FROM b""",
+    f"""WITH {inputs.TICKS}, q AS (SELECT symbol, price, volume, date_trunc('second', timestamp) AS timestamp, seq FROM ticks WHERE price <> 0),
+b AS (SELECT symbol, date_trunc('hour', timestamp) AS time_bucket, arg_min(price, row(timestamp, seq)) AS open, max(price + volume) AS high,
+  min(price - volume) AS low, arg_max(price, row(timestamp, seq)) AS close, count(*) AS volume FROM q GROUP BY ALL)
+SELECT symbol, time_bucket, {", ".join(rounded_sql(c, 4) for c in ("open", "high", "low", "close"))}, volume FROM b""",
 )
 def quote_candles_stream(spark, d):
     """Landed JSON quotes, polled as a stream, to stored candle states and back."""
     landed, out, seen = (shared_dir(spark, name) for name in ("quotes", "partials", "checkpoint"))
-    _quote_payloads(spark, d).select("symbol", "payload").write.json(landed)
-    lines = spark.readStream.schema("symbol string, payload string").json(landed)
-    sink = live.partial_sink(out, "hour", seq=None, quotes=True)
-    live.start(quotes(lines), sink, seen).awaitTermination()
-    candles = live.stored_candles(spark.read.parquet(out))
-    return candles.select("symbol", "time_bucket", rounded("high", 4), rounded("low", 4), "volume")
+    _quote_payloads(spark, d).select("symbol", "seq", "payload").write.json(landed)
+    lines = spark.readStream.schema("symbol string, seq long, payload string").json(landed)
+    sink = live.partial_sink(out, "hour", seq="seq", quotes=True)
+    live.start(quotes(lines, keep=["seq"]), sink, seen).awaitTermination()
+    candles = cd.read_candles(spark.read.parquet(out))
+    return candles.select("symbol", "time_bucket", *[rounded(c, 4) for c in ("open", "high", "low", "close")], "volume")

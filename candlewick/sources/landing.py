@@ -69,16 +69,19 @@ def typed_news(df: DataFrame) -> DataFrame:
     return typed.select(*[F.col(f.name).cast(f.dataType) for f in NEWS_RAW.fields])
 
 
-def quotes(df: DataFrame, payload: str = "payload", symbol: str = "symbol", now: Column | None = None) -> DataFrame:
-    """JSON quotes to typed rows; quotes without a price, or with price 0, are dropped.
+def quotes(
+    df: DataFrame, payload: str = "payload", symbol: str = "symbol", now: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """JSON quotes to typed rows; quotes without a price, or with price 0, are dropped. ``keep`` names further columns to carry along.
 
     Works on batch and streaming frames. A quote without a time gets ``now`` (default: the current time).
     """
     q = F.from_json(F.col(payload), QUOTE_PAYLOAD).alias("_q")
-    parsed = df.select(F.col(symbol).alias("symbol"), q).filter(F.col("_q.c").isNotNull() & (F.col("_q.c") != 0))
+    parsed = df.select(F.col(symbol).alias("symbol"), *keep, q).filter(F.col("_q.c").isNotNull() & (F.col("_q.c") != 0))
     taken = F.timestamp_seconds(F.col("_q.t").cast("long"))
     return parsed.select(
         "symbol",
         *[F.col(f"_q.{key}").alias(name) for key, name in QUOTE_COLUMNS.items()],
         F.coalesce(taken, F.current_timestamp() if now is None else now).alias("timestamp"),
+        *keep,
     )

@@ -131,7 +131,9 @@ def applied(state: DataFrame, envelopes: DataFrame, key: str, at: Sequence[str])
 
 
 def state_sink(lake: Lake, table: str, key: str, at: Sequence[str]) -> Batch:
-    """Keep a current-state table: one upsert per batch, one delete if it holds deletes. Replays change nothing."""
+    """Keep a current-state table: one upsert per batch, one delete if it holds deletes. Replays change nothing.
+
+    Batches have to come in the order of their changes; ``StateStore`` takes them in any order."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         last = newest_changes(batch, key, at).persist()
