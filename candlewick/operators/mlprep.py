@@ -5,6 +5,7 @@ Everything runs per key over daily rows, so one key never holds more rows than t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -136,6 +137,31 @@ def fit_minmax(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ("tick
     return df.groupBy(*by).agg(*lows, *widths)
 
 
+def fit_folds(df: DataFrame, columns: Sequence[str], plan: WalkForward, series: Series = DAILY) -> DataFrame:
+    """Low and width per key, fold and column over the fold's train rows, without a copy of any row.
+
+    The edges of all folds lie on a grid of rows. Extremes per cell of the grid are an aggregate; those of a fold are the running
+    extremes up to its edge, or those of a fixed number of cells before it, over a table of cells.
+    """
+    first = plan.first_kept
+    grid = math.gcd(plan.initial, plan.stride)
+    numbered = df.select(*series.key, *columns, (F.row_number().over(series.window()) - 1).alias("_row"))
+    extremes = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("_min", F.min), ("_max", F.max))]
+    cells = numbered.groupBy(*series.key, F.floor(F.col("_row") / grid).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"), *extremes)
+    by_key = Window.partitionBy(*series.key)
+    frame = by_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding if plan.anchored else 1 - plan.initial // grid, 0)
+    spans = [f(f"{name}_{c}").over(frame).alias(f"{name}_{c}") for c in columns for name, f in (("_min", F.min), ("_max", F.max))]
+    whole = cells.select(*series.key, "_cell", F.sum("_n").over(by_key).alias("_rows"), *spans)
+    steps = (F.col("_cell") + 1) * grid - plan.initial
+    k = F.floor(steps / plan.stride)
+    there = (steps >= 0) & (steps % plan.stride == 0) & (k >= (first or 0)) & (k < plan.fold_count(F.col("_rows")))
+    fitted = whole.filter(F.lit(first is not None) & there)
+    lows = [F.col(f"_min_{c}").alias(f"low_{c}") for c in columns]
+    wide = {c: F.col(f"_max_{c}") - F.col(f"_min_{c}") for c in columns}
+    widths = [F.when(w < CONSTANT_RANGE, 1.0).otherwise(w).alias(f"width_{c}") for c, w in wide.items()]
+    return fitted.select(*series.key, (k - (first or 0)).cast("long").alias("fold"), *lows, *widths)
+
+
 def scale(df: DataFrame, scalers: DataFrame, columns: Sequence[str], by: Sequence[str] = ("ticker",)) -> DataFrame:
     """Columns replaced by their scaled values."""
     return _rescaled(df, scalers, columns, by, lambda x, low, width: (x - low) / width)
@@ -196,8 +222,8 @@ def fold_sequences(
     """Scaled sequences of every fold and split; scalers see the train rows only."""
     by = [*series.key, "fold"]
     columns = [*features, target]
-    parts = fold_rows(df.select(*series.key, *series.order, *columns), plan, series)
-    fitted = fit_minmax(parts.filter(F.col("split") == "train"), columns, by)
+    rows = df.select(*series.key, *series.order, *columns)
+    parts, fitted = fold_rows(rows, plan, series), fit_folds(rows, columns, plan, series)
     scaled = scale(parts, fitted, columns, by)
     return sequences(scaled, features, target, plan.look_back, stride, [*by, "split"], list(series.order))
 
@@ -217,7 +243,8 @@ def newest_window(
     """One input sequence per key from its last ``look_back`` complete rows.
 
     Only features must be complete: the newest row has no label but is the one to predict from. A key with too few
-    complete rows, or none at all, raises, or is left out with ``short="drop"``.
+    complete rows, or none at all, raises, or is left out with ``short="drop"``, or with ``short="row"`` keeps its row, with a message in
+    ``error`` and without inputs.
     """
     whole = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features], F.lit(True))
     marked = df.select("*", whole.alias("_whole"))
@@ -227,16 +254,14 @@ def newest_window(
     entries = F.sort_array(F.collect_list(F.when(F.col("_whole"), F.struct(*series.order, values.alias("values")))))
     grouped = recent.groupBy(*series.key).agg(entries.alias("_rows"))
     enough = F.size("_rows") == look_back
+    message = F.concat(F.lit(f"fewer than {look_back} rows for "), F.coalesce(F.col(series.key[0]).cast("string"), F.lit("NULL")))
     if short == "drop":
         grouped = grouped.filter(enough)
-    else:
-        message = F.concat(F.lit(f"fewer than {look_back} rows for "), F.col(series.key[0]).cast("string"))
+    elif short != "row":
         grouped = grouped.withColumn("_rows", F.when(enough, F.col("_rows")).otherwise(F.raise_error(message)))
-    return grouped.select(
-        *series.key,
-        F.element_at("_rows", -1)[series.order[0]].alias("last_date"),
-        F.transform("_rows", lambda r: r["values"]).alias("inputs"),
-    )
+    values = F.transform("_rows", lambda r: r["values"])
+    out = [F.try_element_at("_rows", F.lit(-1))[series.order[0]].alias("last_date"), (F.when(enough, values) if short == "row" else values).alias("inputs")]
+    return grouped.select(*series.key, *out, *([F.when(~enough, message).alias("error")] if short == "row" else []))
 
 
 Predictor = Callable[[np.ndarray], np.ndarray]
@@ -257,11 +282,42 @@ def predict(windows: DataFrame, load: Callable[[], Predictor], inputs: str = "in
     return windows.mapInPandas(run, f"{kept.schema.simpleString()[7:-1]},{name}:double")
 
 
-def prediction_report(
-    df: DataFrame, model_name: str, look_back: int, features: int, value: str = "prediction", ticker: str = "ticker"
-) -> DataFrame:
-    """Result rows of a scoring run."""
-    return df.select(
+def predict_or_explain(windows: DataFrame, load: Callable[[], Predictor], inputs: str = "inputs", name: str = "prediction") -> DataFrame:
+    """As ``predict``, for rows that may have an ``error`` already: those pass through. A batch that the model refuses is tried row by row; a row that it
+    refuses alone, or answers without a finite number, gets the reason as its ``error``."""
+
+    def one(model: Predictor, window: list) -> tuple[float | None, str | None]:
+        try:
+            value = float(np.asarray(model(np.stack([np.asarray(r, dtype=float) for r in window])[None]), dtype=float).reshape(-1)[0])
+            return (value, None) if np.isfinite(value) else (None, "the model gave no finite number")
+        except Exception as problem:
+            return None, str(problem) or type(problem).__name__
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = None
+        for frame in frames:
+            good = frame["error"].isna().to_numpy()
+            values, errors = np.full(len(frame), None, object), frame["error"].to_numpy(object, copy=True)
+            windows_ = frame[inputs].to_numpy()
+            if good.any():
+                model = model or load()
+                try:
+                    found = np.asarray(model(np.stack([np.stack([np.asarray(r, dtype=float) for r in w]) for w in windows_[good]])), dtype=float).reshape(-1)
+                    if len(found) != good.sum() or not np.isfinite(found).all():
+                        raise ValueError("the batch has no number for each row")
+                    values[good] = found
+                except Exception:
+                    for k in np.flatnonzero(good):
+                        values[k], errors[k] = one(model, windows_[k])
+            yield frame.drop(columns=[inputs]).assign(error=errors, **{name: pd.Series(values, dtype=float, index=frame.index)})
+
+    kept = windows.drop(inputs)
+    found = windows.mapInPandas(run, f"{kept.schema.simpleString()[7:-1]},{name}:double")
+    return found.withColumn(name, F.when(F.col("error").isNull(), F.col(name)))
+
+
+def _report_columns(model_name: str, look_back: int, features: int, value: str = "prediction", ticker: str = "ticker") -> list[Column]:
+    return [
         F.col(ticker).alias("stock"),
         F.col("last_date").cast("string").alias("last_data_date"),
         F.col(value).alias("predicted_next_day_return"),
@@ -270,7 +326,14 @@ def prediction_report(
         F.lit(model_name).alias("model_name"),
         F.lit(look_back).alias("look_back_window"),
         F.lit(features).alias("features_used"),
-    )
+    ]
+
+
+def prediction_report(
+    df: DataFrame, model_name: str, look_back: int, features: int, value: str = "prediction", ticker: str = "ticker"
+) -> DataFrame:
+    """Result rows of a scoring run."""
+    return df.select(*_report_columns(model_name, look_back, features, value, ticker))
 
 
 def score_newest(
@@ -284,7 +347,40 @@ def score_newest(
     short: str = "error",
 ) -> DataFrame:
     """Scale, predict from the newest rows of every ticker, and report in original units."""
+    if short == "row":
+        raise ValueError("error rows have a report of their own: score_or_explain")
     scaled = scale(df.select("ticker", "date", *features), scalers, features)
     raw = predict(newest_window(scaled, features, look_back, short=short), load)
     result = unscale(raw, scalers, ["prediction"], fitted=[target])
     return prediction_report(result, model_name, look_back, len(features))
+
+
+def score_or_explain(
+    df: DataFrame,
+    features: Sequence[str],
+    scalers: DataFrame,
+    load: Callable[[], Predictor],
+    model_name: str,
+    now: Column | None = None,
+    look_back: int = 45,
+    target: str = TARGET,
+) -> DataFrame:
+    """The report of ``score_newest`` with a row for every ticker: its prediction, or why there is none.
+
+    ``timestamp`` is the time of the run, ``status`` ok or failed, ``error`` the reason. One ticker without enough rows, without a scaler or refused by the
+    model costs the others nothing.
+    """
+    scaled = scale(df.select("ticker", "date", *features), scalers, features)
+    raw = predict_or_explain(newest_window(scaled, features, look_back, short="row"), load)
+    result = unscale(raw, scalers, ["prediction"], fitted=[target])
+    failed = F.col("error").isNotNull()
+    stock, *others = _report_columns(model_name, look_back, len(features))
+    names = prediction_report(result, model_name, look_back, len(features)).columns[1:]
+    stamp = F.current_timestamp() if now is None else now
+    return result.select(
+        stamp.alias("timestamp"),
+        stock,
+        *[F.when(~failed, c).alias(name) for name, c in zip(names, others, strict=True)],
+        "error",
+        F.when(failed, "failed").otherwise("ok").alias("status"),
+    )

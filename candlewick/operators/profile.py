@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.functions.numeric import ratio
 
@@ -34,9 +34,60 @@ def _long(one_row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
     return one_row.select(F.inline(pairs))
 
 
-def key_candidates(df: DataFrame, threshold: float = 0.99, approximate: bool = False) -> DataFrame:
-    """Columns whose distinct share reaches the threshold."""
-    return uniqueness(df, approximate=approximate).filter(F.col("distinct_ratio") >= threshold)
+#: Size of a sketch (2**14 counters, about 13 kB) and its relative error; estimates further than five errors from a threshold decide by themselves.
+SKETCH_BITS = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def _sketchable(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.IntegerType, T.LongType, T.StringType, T.BinaryType)):
+        return value
+    return value.cast("string") if isinstance(field.dataType, T.AtomicType) else F.to_json(F.struct(value))
+
+
+def column_sketches(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``column_name``, ``data_type``, ``rows``, ``values`` and ``sketch`` of each column, per group if ``by`` names any: one scan, no row twice.
+
+    Sketches are worth storing, for instance one per day's partition: those of old partitions never change, and ``united`` merges any
+    number of them. Each task sends one sketch per column and group. Columns that are all NULL have an empty sketch.
+    """
+    fields = [f for f in df.schema.fields if f.name not in by]
+    stats = []
+    for i, field in enumerate(fields):
+        value = _sketchable(field)
+        count = F.count(value).alias("values")
+        stats.append(F.struct(F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("data_type"), F.count(F.lit(1)).alias("rows"), count, F.hll_sketch_agg(value, SKETCH_BITS).alias("sketch")).alias(f"c{i}"))
+    grouped = df.groupBy(*by).agg(*stats)
+    return grouped.select(*by, F.inline(F.array(*[F.col(f"c{i}") for i in range(len(fields))])))
+
+
+def united(sketches: DataFrame) -> DataFrame:
+    """``column_name``, ``data_type``, ``rows``, ``null_count``, ``distinct_estimate`` and ``distinct_ratio`` over all groups of stored sketches."""
+    whole = sketches.groupBy("column_name", "data_type").agg(
+        F.sum("rows").alias("rows"), F.sum("values").alias("values"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate")
+    )
+    estimate = F.least("distinct_estimate", "values")
+    return whole.select("column_name", "data_type", "rows", (F.col("rows") - F.col("values")).alias("null_count"), estimate.alias("distinct_estimate"), ratio(estimate, F.col("values")).alias("distinct_ratio"))
+
+
+def key_candidates(df: DataFrame, threshold: float = 0.99, approximate: bool = False, sketches: DataFrame | None = None) -> DataFrame:
+    """Columns whose distinct share reaches the threshold, with the share.
+
+    Sketches, stored ones or those of one scan, decide for the columns clearly above or below; only columns near the threshold are counted exactly, one at a time.
+    The share of a column clearly above is an estimate. ``approximate`` takes all estimates as they are. A row per column reaches
+    the driver.
+    """
+    found = united(column_sketches(df) if sketches is None else sketches).select("column_name", "distinct_ratio").filter("distinct_ratio is not null")
+    if approximate:
+        return found.filter(F.col("distinct_ratio") >= threshold)
+    rows = [r for r in found.collect() if r["column_name"] in df.columns]
+    near = [r["column_name"] for r in rows if abs(r["distinct_ratio"] - threshold) <= 5 * SKETCH_ERROR]
+    sure = [(r["column_name"], r["distinct_ratio"]) for r in rows if r["column_name"] not in near and r["distinct_ratio"] >= threshold]
+    out = df.sparkSession.createDataFrame(sure, "column_name string, distinct_ratio double")
+    for column in near:  # each on its own: several distinct counts at once would copy every row
+        out = out.unionByName(uniqueness(df, [column]).filter(F.col("distinct_ratio") >= threshold))
+    return out
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -112,6 +163,13 @@ def declared_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
     return primary.join(usage.select(*on, "column_name"), on).select("table_schema", "table_name", "column_name")
 
 
+def keys_of(df: DataFrame, declared: DataFrame | None = None, threshold: float = 0.99) -> DataFrame:
+    """``column_name``, ``source``: the declared key columns, else those detected from the data."""
+    if declared is not None and not declared.isEmpty():
+        return declared.select("column_name", F.lit("declared").alias("source"))
+    return key_candidates(df, threshold).select("column_name", F.lit("detected").alias("source"))
+
+
 def primary_keys(df: DataFrame, declared: Sequence[str] = (), threshold: float = 0.99) -> list[str]:
     """The declared keys, else the detected ones."""
     if declared:

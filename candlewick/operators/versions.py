@@ -66,11 +66,11 @@ def activated(history: DataFrame, chosen: DataFrame, keys: Sequence[str], versio
 
 def soft_deleted(df: DataFrame, which: Column, now: Column | None = None) -> DataFrame:
     """Mark rows as deleted instead of removing them."""
-    out = df.withColumn("status", F.when(which, F.lit("deleted")).otherwise(F.col("status")))
-    if "updated_at" not in df.columns:
-        return out
-    stamp = F.current_timestamp() if now is None else now
-    return out.withColumn("updated_at", F.when(which, stamp).otherwise(F.col("updated_at")))
+    changed = {"status": F.when(which, F.lit("deleted")).otherwise(F.col("status"))}
+    if "updated_at" in df.columns:
+        stamp = F.current_timestamp() if now is None else now
+        changed["updated_at"] = F.when(which, stamp).otherwise(F.col("updated_at"))
+    return df.withColumns(changed)  # both look at the row as it was
 
 
 def changed(stored: DataFrame, arriving: DataFrame, keys: Sequence[str], compare: Sequence[str]) -> DataFrame:
@@ -85,6 +85,40 @@ def changed(stored: DataFrame, arriving: DataFrame, keys: Sequence[str], compare
     return joined.select(*arriving.columns, action.alias("action"))
 
 
+def canonical_json(text: Column) -> Column:
+    """JSON text in one spelling: keys in order, no spaces. Texts that mean the same have the same; NULL for text that isn't JSON."""
+    return F.to_json(F.try_parse_json(text))
+
+
+def config_json(df: DataFrame, columns: Sequence[str], name: str = "config") -> DataFrame:
+    """The columns as one JSON config in canonical form, missing values included, with its hash."""
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return df.withColumn(name, canonical_json(text)).withColumn(f"{name}_hash", F.sha2(name, 256))
+
+
+def with_updates(
+    stored: DataFrame, arriving: DataFrame, keys: Sequence[str], config: str = "config", now: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The stored rows after configs arrive, and the arriving rows with their ``action``.
+
+    A config that means something else than the one in use is an update: the row in use is marked deleted, and a new active row comes in. The same config,
+    however it is written, changes nothing; a key without a row in use gets one. ``stored`` has ``status`` and ``updated_at``;
+    ``arriving`` has keys and config, a row per key. Rows with a NULL key never find one in use, so they come in again.
+    """
+    stamp = F.current_timestamp() if now is None else now
+    meaning = F.coalesce(canonical_json(F.col(config)), F.col(config))
+    used = F.coalesce(F.col("status") != "deleted", F.lit(True))
+    in_use = stored.filter(used).select(*keys, F.struct(meaning.alias("m")).alias("_used"))
+    joined = arriving.join(in_use, list(keys), "left")
+    same = F.col("_used.m").eqNullSafe(meaning)
+    judged = joined.select(*arriving.columns, F.when(F.col("_used").isNull(), "Created").when(same, "Existed").otherwise("Updated").alias("action"))
+    replaced = judged.filter(F.col("action") == "Updated").select(*keys, F.lit(True).alias("_replaced"))
+    marked = stored.join(replaced, list(keys), "left").select(*stored.columns, "_replaced")
+    old = soft_deleted(marked, F.col("_replaced").isNotNull() & used, stamp).select(*stored.columns)
+    new = judged.filter(F.col("action") != "Existed").drop("action").select("*", F.lit("active").alias("status"), stamp.alias("updated_at"))
+    return old.unionByName(new, allowMissingColumns=True), judged
+
+
 def has_rows(df: DataFrame) -> bool:
     """Existence test that reads no more than it must."""
     return not df.isEmpty()

@@ -10,7 +10,7 @@ from candlewick.functions.numeric import label_score
 from candlewick.functions.text import headline, prompt, tag_title, title_case, url_title
 from candlewick.functions.timefn import compact_timestamp, market_time, trading_date
 from candlewick.operators import sentiment as sm
-from candlewick.operators.rules import match_rules
+from candlewick.operators.rules import match_many, match_rules
 from candlewick.operators.shaping import features_with_sentiment, recode_column
 from candlewick.operators.versions import keep_first
 from candlewick.plans import inputs, jobs
@@ -130,6 +130,23 @@ def rule_matches_whole_word(spark, d):
     return match_rules(inputs.news(spark, d), _WHOLE, whole_word=True).select("doc_id", "ticker")
 
 
+@query(
+    "rule_matches_many",
+    f"""WITH {inputs.NEWS}, t AS MATERIALIZED (SELECT doc_id, lower(extracted_title) AS title, lower(source_url) AS url FROM news),
+r AS MATERIALIZED (SELECT 'D' || doc_id AS ticker, lower(substr(text, 11, 14)) AS a, lower(substr(text, 41, 2)) || '¬' AS b, lower(substr(text, 71, 9)) AS c,
+  CASE WHEN doc_id % 2 = 0 THEN lower(substr(text, 101, 6)) END AS banned FROM documents WHERE length(text) >= 120)
+SELECT doc_id, ticker FROM t JOIN r ON (contains(title, a) OR contains(title, b) OR contains(title, c))
+WHERE banned IS NULL OR NOT (contains(title, banned) OR contains(url, banned))""",
+)
+def rule_matches_many(spark, d):
+    """A rule for each document, from stretches of its text: as many rules as headlines."""
+    docs = inputs.table(spark, d, "documents").filter(F.length("text") >= 120)
+    aliases = F.array(F.substring("text", 11, 14), F.concat(F.substring("text", 41, 2), F.lit("¬")), F.substring("text", 71, 9))
+    banned = F.when(F.col("doc_id") % 2 == 0, F.array(F.substring("text", 101, 6)))
+    rules = docs.select(F.concat(F.lit("D"), "doc_id").alias("ticker"), aliases.alias("aliases"), banned.alias("blacklist"))
+    return match_many(inputs.news(spark, d), rules).select("doc_id", "ticker")
+
+
 @query(
     "silver_news",
     f"""WITH raw AS (SELECT page_id, html, url, TIMESTAMP '{inputs.START} 00:00:00' + to_minutes(page_id * 37) AS utc FROM pages),

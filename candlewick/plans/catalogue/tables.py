@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import profile as pf, shaping as sh, versions as vs
 from candlewick.plans import inputs, jobs
 from candlewick.plans.catalogue.registry import query, rounded, rounded_sql, scratch_lake
-from candlewick.session import shared_dir
+from candlewick.session import shared_dir, staged
 from candlewick.sinks.files import export_csv, export_parquet, write_predictions
 from candlewick.sources.landing import landed_bars as read_landed_bars
 from candlewick.sources.tables import read_csv, read_ticker
@@ -346,6 +346,50 @@ def changed_configs(spark, d):
     return vs.changed(stored, arriving, ["job_id"], ["role", "turn"])
 
 
+def _config_sql(turn: str = "turn") -> str:
+    """Keys in order, no spaces."""
+    return f"""'{{"job_id":' || job_id || ',"role":"' || role || '","size":' || size || ',"turn":' || {turn} || '}}'"""
+
+
+_FIRST = "SELECT conv_id AS job_id, turn, role, length(text) AS size FROM conversations"
+
+
+@query(
+    "config_as_json",
+    f"""SELECT job_id, turn, config, sha256(config) AS config_hash FROM (SELECT job_id, turn, {_config_sql()} AS config FROM ({_FIRST}))""",
+)
+def config_as_json(spark, d):
+    """Conversation turns as configs: one spelling, whatever the order of the columns."""
+    turns = inputs.table(spark, d, "conversations").select(F.col("conv_id").alias("job_id"), "turn", "role", F.length("text").alias("size"))
+    return vs.config_json(turns, ["turn", "role", "job_id", "size"]).select("job_id", "turn", "config", "config_hash")
+
+
+_STAMPED = "2024-06-01 08:00:00"
+
+
+@query(
+    "updated_configs",
+    f"""WITH first AS (SELECT job_id, role, size, turn FROM ({_FIRST}) QUALIFY turn = min(turn) OVER (PARTITION BY job_id)),
+stored AS (SELECT job_id, {_config_sql()} AS config FROM first),
+arriving AS (SELECT job_id, {_config_sql("99")} AS config FROM first WHERE job_id % 3 = 1
+  UNION ALL SELECT job_id + 1000000, config FROM stored WHERE job_id % 5 = 0)
+SELECT s.job_id, s.config, CASE WHEN job_id % 3 = 1 THEN 'deleted' ELSE 'active' END AS status,
+  CASE WHEN job_id % 3 = 1 THEN TIMESTAMP '{_STAMPED}' END AS updated_at FROM stored s
+UNION ALL SELECT job_id, config, 'active', TIMESTAMP '{_STAMPED}' FROM arriving""",
+)
+def updated_configs(spark, d):
+    """Of the stored configs a third comes again in another spelling, a third has changed, and some are new."""
+    turns = inputs.table(spark, d, "conversations").select(F.col("conv_id").alias("job_id"), "turn", "role", F.length("text").alias("size"))
+    first = vs.keep_first(turns, ["job_id"], ["turn"])
+    columns = ["job_id", "role", "size", "turn"]
+    stored = vs.config_json(first, columns).select("job_id", "config", F.lit("active").alias("status"), F.lit(None).cast("timestamp").alias("updated_at"))
+    spelled = F.to_json(F.struct("turn", "size", "role", "job_id"), {"pretty": "true"})
+    again = first.filter("job_id % 3 = 0").select("job_id", spelled.alias("config"))
+    other = vs.config_json(first.filter("job_id % 3 = 1").withColumn("turn", F.lit(99)), columns).select("job_id", "config")
+    new = stored.filter("job_id % 5 = 0").select((F.col("job_id") + 1_000_000).alias("job_id"), "config")
+    return vs.with_updates(stored, again.unionByName(other).unionByName(new), ["job_id"], now=F.lit(_STAMPED).cast("timestamp"))[0]
+
+
 @query("existing_keys", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def existing_keys(spark, d):
     orders = inputs.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
@@ -409,6 +453,42 @@ def column_profile(spark, d):
     return pf.profile(inputs.table(spark, d, "orders"))
 
 
+@query(
+    "profile_from_sketches",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS rows, count(*) FILTER ({c} IS NULL) AS null_count, "
+        f"count(DISTINCT {c}) >= 0.4 * count({c}) AS varied FROM orders"
+        for c, t in _ORDERS.items()
+        if c != "o_orderdate"
+    ),
+)
+def profile_from_sketches(spark, d):
+    """Sketches per order status, stored and united: counts are exact, the distinct share is told from few to many values."""
+    orders = inputs.table(spark, d, "orders").drop("o_orderdate").withColumn("status", F.col("o_orderstatus"))
+    stored = staged(pf.column_sketches(orders, ["status"]), "sketches")
+    return pf.united(stored).select("column_name", "data_type", "rows", "null_count", (F.col("distinct_ratio") >= 0.4).alias("varied"))
+
+
+@query(
+    "keys_of_tables",
+    f"""SELECT 'customer' AS table_name, column_name, 'detected' AS source FROM ({_UNIQUE_SQL}) WHERE distinct_ratio >= 0.99
+UNION ALL SELECT 'orders', 'o_orderkey', 'declared'""",
+)
+def keys_of_tables(spark, d):
+    """Key columns: declared for orders, detected for customers."""
+    declared = spark.createDataFrame([("o_orderkey",)], "column_name string")
+    orders = pf.keys_of(inputs.table(spark, d, "orders"), declared).select(F.lit("orders").alias("table_name"), "*")
+    return pf.keys_of(inputs.table(spark, d, "customer")).select(F.lit("customer").alias("table_name"), "*").unionByName(orders)
+
+
+@query(
+    "columns_with_types",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in _ORDERS.items()) + ") v(column_name, data_type) WHERE (SELECT count(*) FROM orders) > 0",
+)
+def columns_with_types(spark, d):
+    return pf.columns_of(inputs.table(spark, d, "orders"))
+
+
 @query(
     "dataset_info",
     f"""WITH {inputs.FEATURES} SELECT ticker, count(*) AS total_samples, 4 AS n_features, min(date) AS first_date,

@@ -69,8 +69,7 @@ _FITTED = f"WITH {_ROWS}, {_folds_sql(PLAN)}, {_PARTS}, {_SCALERS}"
 
 @query("fold_scalers", f"{_FITTED} SELECT ticker, fold, {', '.join(rounded_sql(c, 4) for c in _SHOWN)} FROM scalers")
 def fold_scalers(spark, d):
-    train = ml.fold_rows(_complete(spark, d), PLAN).filter("split = 'train'")
-    fitted = ml.fit_minmax(train, ALL, ["ticker", "fold"])
+    fitted = ml.fit_folds(_complete(spark, d), ALL, PLAN)
     return fitted.select("ticker", "fold", *[rounded(c, 4) for c in _SHOWN])
 
 
@@ -85,9 +84,8 @@ _SCALED = "scaled AS (SELECT p.ticker, p.date, p.rn, p.fold, p.split, " + ", ".j
 )
 def scaled_folds(spark, d):
     by = ["ticker", "fold"]
-    parts = ml.fold_rows(_complete(spark, d), PLAN)
-    fitted = ml.fit_minmax(parts.filter("split = 'train'"), ALL, by)
-    out = ml.scale(parts, fitted, ALL, by)
+    rows = _complete(spark, d)
+    out = ml.scale(ml.fold_rows(rows, PLAN), ml.fit_folds(rows, ALL, PLAN), ALL, by)
     return out.select("ticker", "date", "fold", "split", *[rounded(c) for c in ALL])
 
 
@@ -202,6 +200,34 @@ def predictions(spark, d):
     return out.select(*[rounded(c, digits[c]) if c in digits else F.col(c) for c in out.columns])
 
 
+_RUN = "2024-06-01 08:00:00"
+
+
+@query(
+    "predictions_with_errors",
+    f"""WITH {_ROWS}, {_SCALE_ALL}, newest AS (
+  SELECT *, count(*) OVER (PARTITION BY ticker) AS here FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM features
+    WHERE {' AND '.join(f'{c} IS NOT NULL' for c in COLUMNS)}) WHERE back <= CASE WHEN ticker = '1-URGENT' THEN 20 ELSE 45 END
+  QUALIFY back = 1),
+p AS (SELECT r.ticker, r.date, here, ({' + '.join(f'(r.{c} - f.low_{c}) / f.width_{c}' for c in COLUMNS)}) / {len(COLUMNS)}
+  * f.width_next_day_return + f.low_next_day_return AS value FROM newest r JOIN fitted f ON f.ticker = r.ticker)
+SELECT TIMESTAMP '{_RUN}' AS timestamp, ticker AS stock, CASE WHEN here >= 45 THEN CAST(date AS VARCHAR) END AS last_data_date,
+  CASE WHEN here >= 45 THEN {rounded_sql("value", 6, "x")[:-5]} END AS predicted_next_day_return,
+  CASE WHEN here >= 45 THEN CASE WHEN value > 0 THEN 'UP' ELSE 'DOWN' END END AS prediction_direction,
+  CASE WHEN here >= 45 THEN 'mean' END AS model_name, CASE WHEN here < 45 THEN 'fewer than 45 rows for ' || ticker END AS error,
+  CASE WHEN here < 45 THEN 'failed' ELSE 'ok' END AS status FROM p""",
+)
+def predictions_with_errors(spark, d):
+    """One ticker has twenty rows left: it gets an error row, the others their prediction."""
+    features = inputs.features(spark, d)
+    fitted = ml.fit_minmax(ml.complete_rows(features, ALL), ALL)
+    left = ml.newest_rows(ml.complete_rows(features, COLUMNS), 20).filter("ticker = '1-URGENT'").unionByName(features.filter("ticker <> '1-URGENT'"))
+    out = ml.score_or_explain(left, COLUMNS, fitted, _load_mean, "mean", F.lit(_RUN).cast("timestamp"))
+    shown = ["timestamp", "stock", "last_data_date", rounded("predicted_next_day_return"), "prediction_direction", "model_name", "error", "status"]
+    return out.select(*shown)
+
+
 # --- metrics -------------------------------------------------------------------------------------------
 
 _PREDICTED = f"""WITH {_ROWS}, {_folds_sql(PLAN)}, p AS (

@@ -15,6 +15,7 @@ from candlewick.operators.sentiment import daily_sentiment, lexicon_scored
 from candlewick.operators.shaping import bar_projection, drop_if_present, features_with_sentiment, recode_column, stamped
 from candlewick.operators.versions import keep_first
 from candlewick.schemas import COMPANY_NAMES, DEFAULT_RULES, STAMP
+from candlewick.session import staged
 from candlewick.sinks.layers import LAYERS, Lake, valid_name
 from candlewick.sources.tables import Connection, ReadSplit, read_csv, read_jdbc
 
@@ -29,6 +30,7 @@ class Tables:
     news: str = "silver.news"
     gold_bars: str = "gold.bars"
     sentiment: str = "gold.sentiment_features"
+    scored: str = "gold.scored_news"
     features: str = "gold.ml_features"
 
 
@@ -94,10 +96,18 @@ def silver_news(raw: DataFrame, settings: Settings) -> DataFrame:
     return keep_first(matched, ["date", "ticker", "extracted_title"], ["timestamp_et", "source_url"])
 
 
+TITLE = ["date", "ticker", "extracted_title"]
+
+
+def scored_titles(news: DataFrame, settings: Settings) -> DataFrame:
+    """Headlines with label and score."""
+    named = recode_column(news.select(*TITLE), "ticker", settings.names, "company_name")
+    return settings.score(named)
+
+
 def gold_sentiment(news: DataFrame, settings: Settings) -> DataFrame:
     """Scored headlines rolled up per date and ticker."""
-    named = recode_column(news.select("date", "ticker", "extracted_title"), "ticker", settings.names, "company_name")
-    return daily_sentiment(settings.score(named))
+    return daily_sentiment(scored_titles(news, settings))
 
 
 def gold_features(indicators: DataFrame, sentiment: DataFrame, settings: Settings) -> DataFrame:
@@ -133,9 +143,33 @@ def bars_to_gold(lake: Lake, settings: Settings = Settings()) -> int:
     return _merge_daily(lake, bars, settings.tables.gold_bars, settings)
 
 
+def unscored(news: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Headlines that the ledger does not hold. NULLs compare as equal."""
+    known = ledger.select(F.struct(*TITLE).alias("_title")).distinct()
+    return news.select("*", F.struct(*TITLE).alias("_title")).join(known, "_title", "left_anti").drop("_title")
+
+
 def news_to_sentiment(lake: Lake, settings: Settings = Settings()) -> int:
-    daily = gold_sentiment(lake.read(settings.tables.news), settings)
-    return _merge_daily(lake, daily, settings.tables.sentiment, settings)
+    """Score the headlines that no run before has scored, and roll up the days they belong to.
+
+    The ledger of scored headlines is written last: a run that fails before scores the same headlines again, and its
+    upsert of the days changes nothing then. So a score is paid for once, and no headline is left out of its day.
+    """
+    tables = settings.tables
+    news = lake.read(tables.news)
+    lake.recover(tables.scored)
+    ledger = lake.read(tables.scored) if lake.exists(tables.scored) else None
+    fresh = news if ledger is None else unscored(news, ledger)
+    scored = staged(scored_titles(fresh.select(*TITLE).distinct(), settings).select(*TITLE, "sentiment_label", "sentiment_score"), "scored")
+    if scored.isEmpty():
+        return lake.count(tables.sentiment) if lake.exists(tables.sentiment) else _merge_daily(lake, daily_sentiment(scored), tables.sentiment, settings)
+    days = scored
+    if ledger is not None:
+        touched = scored.select("date", "ticker").distinct()
+        days = scored.unionByName(ledger.select(*scored.columns).join(touched, ["date", "ticker"], "left_semi"))
+    count = _merge_daily(lake, daily_sentiment(days), tables.sentiment, settings)
+    lake.append(scored, tables.scored, settings.partition_by)
+    return count
 
 
 def build_features(lake: Lake, settings: Settings = Settings()) -> int:
