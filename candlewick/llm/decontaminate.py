@@ -150,11 +150,10 @@ def hit_words() -> F.Column:
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents that hold no benchmark window, with their columns; clean documents all stay."""
-    marked = find_passages(docs.withColumn("__text", F.col("text")), benchmark, text="__text", window=window)
-    kept_columns = [c for c in docs.columns]
-    if {"words", "hits", "items"} & {*docs.columns}:  # their own columns of these names come back
+    if {"words", "hits", "items", "spans", "__text"} & {*docs.columns}:  # their own columns of these names come back
         return _beside(docs, benchmark, window)
-    return marked.filter(F.size("hits") == 0).select(*kept_columns)
+    marked = find_passages(docs.withColumn("__text", F.col("text")), benchmark, text="__text", window=window)
+    return marked.filter(F.size("hits") == 0).select(*docs.columns)
 
 
 def _beside(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:

@@ -18,6 +18,9 @@ TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Sr", "Señor", "г-н"),
     "n": ("Dr", "Prof"),
 }
+#: Small words inside a name, and those that only follow one of them.
+PARTICLES = {"van", "von", "de", "du", "da", "di", "del", "della", "dos", "ter", "ten", "af", "av", "bin", "al", "el"}
+AFTER_PARTICLE = {"der", "den", "dem", "la", "las", "los", "le"}
 SYLLABLES = {
     "latin": ("ba be bi bo da de di do fa fe ka ke ki la le li lo ma me mi na ne ni pa ra re ri ro sa se ta te ti va ve vi".split(), {"f": "na la ra lia nia sa".split(), "m": "n l r d k s".split(), "n": "n l r s".split()}),
     "cyrillic": ("ба бе би бо ва ве ви да де ди ка ке ки ла ле ли ма ме ми на не ни па ра ре ри са се та те ти".split(), {"f": "на ла ра лия ния са".split(), "m": "н л р д к с".split(), "n": "н л р с".split()}),
@@ -33,7 +36,7 @@ FORMS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w.])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w]|[.-]\d)"
     r"|(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d|0\d)(?:[ .-]\d{2}){4}(?![\w]|[.-]\d)|\+\d{1,3}[ .-]?\d{6,12}(?![\w]|[.-]\d))",
-    "name": rf"\b(?:{_TITLE})\.?[ ]{_WORD}(?:[ ]{_WORD}){{0,2}}",
+    "name": rf"\b(?:{_TITLE})\.?[ ]{_WORD}(?:[ ]{_WORD})*",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items()))
 _NOT_CARD = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in FORMS.items() if kind != "card"))
@@ -58,7 +61,7 @@ def _checked(raw: str) -> str:
 def _name_words(m: re.Match) -> tuple[str, list[tuple[int, int, str]]]:
     """Gender of a title, and the words of the name behind it: start, end and folded case."""
     title, *words = m[0].split(" ")
-    at, found = m.start() + len(title) + 1, []
+    at, found, inside = m.start() + len(title) + 1, [], False
     for w in words:
         if w[0].isupper():
             own = re.sub("['’]s$", "", w)
@@ -67,8 +70,9 @@ def _name_words(m: re.Match) -> tuple[str, list[tuple[int, int, str]]]:
             found.append((at, at + len(own), own.casefold()))
             if own != w:
                 break
-        elif found:
+        elif found and not (w in PARTICLES or inside and w in AFTER_PARTICLE):
             break
+        inside = not w[0].isupper()
         at += len(w) + 1
     return _GENDER[title.rstrip(".")], found
 
@@ -111,7 +115,7 @@ def entities(text: str | None) -> list[tuple[int, int, str, str, int]]:
         elif kind == "iban":
             form = raw.replace(" ", "")
         elif kind == "phone":
-            form = digits[-10:]
+            form = digits[1:] if len(digits) == 11 and raw.startswith("+1") else digits  # the same number with and without its country
         else:
             form = digits if kind != "ip" else raw
         out.append((start, at, kind, form, 1))

@@ -295,6 +295,7 @@ def repeated_ranges(
     discard(anchored)
     release(spark)
     held = kept(named.join(places, "row").dropDuplicates(["row"]).select("row", "doc", "text", "places"), "held")
+    discard(places)
     release(spark)
     confirmed = _windows(held, window, anchor).groupBy("hash").agg(F.min(F.struct("doc", "start", "key")).alias("first"), F.count(F.lit(1)).alias("n"), F.max("anchor").alias("anchor"))
     firsts = kept(confirmed.filter("n > 1").select("first.key", "first.start", "anchor"), "firsts")
@@ -306,7 +307,7 @@ def repeated_ranges(
     ranges = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
     whole = ids.filter("not original").select("row", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("end"))).alias("ranges"))
     out = kept(ranges.union(whole), "ranges")
-    discard(places, held, firsts, stretches, ids)
+    discard(held, firsts, stretches, ids)
     release(spark)
     return out
 

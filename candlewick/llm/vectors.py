@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from heapq import heappop, heappush
 
 import numpy as np
@@ -206,26 +207,28 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     """One row per row of ``vectors``: ``vec_id``, ``n_links`` (other vectors with cosine of at least ``threshold``), ``component_id`` (smallest
     ``vec_id`` reachable), ``kept`` (it is its own component's name).
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors whose
-    length isn't the commonest one (the larger of equally common ones). Null ids are named null unless linked to others. Rows
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of different lengths: each
+    length has an index of its own. Null ids are named null unless linked to others. Rows
     with equal vectors are one node that counts as many; repeated ids each count. Every link reported has been verified in
     double precision; ``recall`` is the share that the index aims at. An empty table gives no rows.
 
     The codebooks are fitted on at most ``fit_rows`` vectors, those whose ids hash lowest; every vector is indexed.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("vector")).withColumns({"length": F.size("vector"), "fine": _fine("vector")})
     usable = rows.filter("fine")
-    lengths = usable.groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("length")).limit(1).collect()
-    length = lengths[0]["length"] if lengths else -1
-    usable = usable.filter(F.col("length") == length)
-    alone = rows.filter(~(F.col("fine") & (F.col("length") == length))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not lengths:
-        return alone
+    alone = rows.filter("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    lengths = [r[0] for r in usable.select("length").distinct().collect()]  # as many as there are kinds of vectors
+    found = [_linked(usable.filter(F.col("length") == n).select("vec_id", "vector"), threshold, fit_rows, recall) for n in sorted(lengths)]
+    return reduce(DataFrame.union, found, alone)
+
+
+def _linked(usable: DataFrame, threshold: float, fit_rows: int, recall: float) -> DataFrame:
+    """The rows of ``near_vectors`` for vectors of one length."""
+    spark = usable.sparkSession
     keyed = _keyed(usable)
-    name = F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")  # 60 bits of the key name a vector in joins and links
     reps = keyed.groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector"))
-    reps = kept(reps.select("key", name.alias("rep"), "least", "n", "vector"), "vectors")
+    # Vectors are named by their md5; in joins and links by a number each, given once in a kept table.
+    reps = kept(reps.select("key", F.monotonically_increasing_id().alias("rep"), "least", "n", "vector"), "vectors")
     release(spark)
     chosen = reps.orderBy(F.xxhash64("key"), "key").limit(fit_rows).select("vector").collect()
     index = fit_index(_unpacked([bytes(r.vector) for r in chosen]), reps.count(), threshold, recall)
@@ -236,8 +239,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_key = named.join(least, "root").select("key", "links", "component_id")
     release(spark)
-    linked = keyed.select("vec_id", "key").join(by_key, "key").select("vec_id", F.col("links").alias("n_links"), "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
-    return linked.union(alone)
+    return keyed.select("vec_id", "key").join(by_key, "key").select("vec_id", F.col("links").alias("n_links"), "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _coded(reps: DataFrame, index: MultiIndex) -> DataFrame:

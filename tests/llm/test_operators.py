@@ -113,7 +113,19 @@ def test_phones_of_other_forms_and_before_numbers(phone):
         for text in (f"call {phone} now", f"call {phone} 1000{k} now"):
             found = pii.entities(text)
             assert found and found[0][0] == 5 and found[0][1] >= 5 + len(phone), text
-    assert [e[2:4] for e in pii.entities(f"call {phone}.")] == [("phone", re.sub(r"\D", "", phone)[-10:])]
+    digits = re.sub(r"\D", "", phone)
+    assert [e[2:4] for e in pii.entities(f"call {phone}.")] == [("phone", digits[1:] if phone.startswith("+1") else digits)]
+
+
+def test_names_of_any_length_and_numbers_of_other_countries(spark):
+    names = ["Dr Anna Maria Luisa Weber", "Frau Ursula von der Leyen", "Señor Juan Carlos Alberto de la Vega Ruiz"]
+    docs = [(k, f"Yesterday {n} spoke. {n.split(' ')[-1]} left.") for k, n in enumerate(names)] + [(8, "call +49 4155550123 or +1 415 555 0123, or +4915112345678901.")]
+    got = {r.doc_id: r.text for r in pii.with_surrogates(spark.createDataFrame(docs, DOCS), b"k").collect()}
+    for k, n in enumerate(names):
+        assert not [w for w in n.split(" ")[1:] if w[0].isupper() and w in got[k]]
+    numbers = [re.sub(r"\D", "", x) for x in re.findall(r"\+[\d ]+", got[8])]
+    assert numbers[0][-10:] != numbers[1][-10:] and "4155550123" not in "".join(numbers)
+    assert [e[:2] for e in pii.entities("Herr Braun der Bank, Dr Weber den Brief")] == [(5, 10), (24, 29)]
 
 
 def test_card_before_a_number():
@@ -367,6 +379,13 @@ def test_near_vectors(spark, monkeypatch):
     assert all(found[k].n_links == 0 and found[k].kept for k in range(9000, 9006))
 
 
+def test_vectors_of_each_length_link_among_themselves(spark):
+    rng = np.random.default_rng(3)
+    data = [(k, rng.normal(size=5).tolist()) for k in range(20)] + [(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 3.01]), (102, [1.0, 2.0]), (103, [1.0, 2.0]), (104, [7.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()}
+    assert [got[k] for k in range(100, 105)] == [(1, 100), (1, 100), (1, 102), (1, 102), (0, 104)] and len(got) == len(data)
+
+
 # --- 10: secrets ----------------------------------------------------------------------------------------------------
 
 
@@ -478,3 +497,19 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, sf_dir):
         assert docs.columns == columns and docs.count() > 0
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert last.count() == docs.count() and {"ids", "n_tokens"} <= set(last.columns)
+
+
+def test_pipeline_stages_take_columns_of_any_name_and_empty_tables(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = docs.selectExpr("*", "doc_id AS spans", "lang AS tie", "source AS hits", "n_chars AS component")
+    for stage in (corpus_pipeline.one_of_each, corpus_pipeline.without_benchmark):
+        plain, other = stage(spark, docs, sf_dir), stage(spark, odd, sf_dir)
+        assert other.columns == odd.columns
+        assert rows(other.select("doc_id")) == rows(plain.select("doc_id"))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+
+
+def test_of_rows_with_one_id_and_text_the_smallest_columns_stay(spark, sf_dir):
+    docs = spark.createDataFrame([(1, "some text of five words", "b"), (1, "some text of five words", "a"), (2, "some text of five words", "a")], "doc_id long, text string, source string")
+    assert rows(corpus_pipeline.one_of_each(spark, docs, sf_dir)) == [(1, "some text of five words", "a")]
