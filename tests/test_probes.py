@@ -29,10 +29,10 @@ def test_missing_predictions_count_nowhere(spark):
     assert got["ic"] == pytest.approx(metrics.spearman(spark.createDataFrame(rows, schema)).first().ic)
 
 
-def test_average_over_a_missing_price_is_an_error(spark):
-    rows = [("t", dt.date(2024, 1, d + 1), p) for d, p in enumerate([1.0, None, 1.0])]
-    with pytest.raises(Exception, match="needs a value in every row"):
-        ema(spark.createDataFrame(rows, "ticker string, date date, close double"), [3]).collect()
+def test_average_over_a_missing_price_stands_still_and_decays(spark):
+    rows = [("t", dt.date(2024, 1, d + 1), p) for d, p in enumerate([1.0, None, 4.0])]
+    out = ema(spark.createDataFrame(rows, "ticker string, date date, close double"), [3]).orderBy("date").collect()
+    assert [round(r.EMA_3, 9) for r in out] == [1.0, 1.0, 3.0]  # (0.25 * 1 + 0.5 * 4) / 0.75
 
 
 def test_key_without_a_complete_row_is_an_error(spark):
