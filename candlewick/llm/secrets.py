@@ -15,18 +15,20 @@ ASSIGN_CHARS = 6
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-#: Encoding, the form that tells it, its alphabet in order, and how far above one (times its length) the chi-squared statistic of
-#: ordinary words lies: size of the alphabet times the chance that two letters of a text are equal, less one.
+#: Encoding, the form that tells it, its alphabet in order, how far above one (times its length) the chi-squared statistic of
+#: ordinary words lies (size of the alphabet times the chance that two letters of a text are equal, less one), and how often the kind of
+#: letter (lower, upper, digit, mark) changes within joined words, names and paths.
 ENCODINGS = (
-    ("hex", "^[0-9a-f]+$", DIGITS + "abcdef", 1.6),
-    ("HEX", "^[0-9A-F]+$", DIGITS + "ABCDEF", 1.6),
-    ("base32", "^[A-Z2-7]+$", UPPER + "234567", 1.1),
-    ("lower36", "^[a-z0-9]+$", DIGITS + LOWER, 1.4),
-    ("base64", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/", 3.2),
-    ("base64url", "^.*$", UPPER + LOWER + DIGITS + "-_", 3.2),
+    ("hex", "^[0-9a-f]+$", DIGITS + "abcdef", 1.6, 0.25),
+    ("HEX", "^[0-9A-F]+$", DIGITS + "ABCDEF", 1.6, 0.25),
+    ("base32", "^[A-Z2-7]+$", UPPER + "234567", 1.1, 0.1),
+    ("lower36", "^[a-z0-9]+$", DIGITS + LOWER, 1.4, 0.12),
+    ("base64", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/", 3.2, 0.4),
+    ("base64url", "^.*$", UPPER + LOWER + DIGITS + "-_", 3.2, 0.4),
 )
-#: Tests against randomness reject beyond this many standard deviations; false discoveries are held to this share in each class of lengths.
-REJECT, FALSE_SHARE, CLASSES = 3.29, 0.01, (32, 64)
+#: The tests for order reject chance where their squared deviations add up to more than this (one in a hundred random strings);
+#: false discoveries are held to this share in each class of lengths.
+REJECT, FALSE_SHARE, CLASSES = 9.21, 0.01, (32, 64)
 KINDS = ("assign", "access", "hex", "random")
 
 
@@ -82,35 +84,47 @@ def _normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * held + 0.07056 * held * held * held))
 
 
+def _kinds(alphabet: str) -> str:
+    """The kind of each letter: lower, upper, digit or mark."""
+    return "".join("l" if c in LOWER else "u" if c in UPPER else "d" if c in DIGITS else "m" for c in alphabet)
+
+
+def changes(alphabet: str) -> tuple[float, float]:
+    """Of neighbours in a random string the share whose kinds differ, and the variance that each adds to the number of changes."""
+    kinds = _kinds(alphabet)
+    shares = [kinds.count(k) / len(kinds) for k in sorted(set(kinds))]
+    same, thrice = (sum(p**power for p in shares) for power in (2, 3))
+    return 1 - same, same * (1 - same) + 2 * (thrice - same * same)
+
+
 def _encoding(value: Column) -> Column:
-    """The first encoding whose form the string has: letters, their halves (lower ``0``, upper ``1``), size, excess."""
+    """The first encoding whose form the string has: letters, their kinds, size, and what chance and ordinary words would show."""
     choice = None
-    for _, form, alphabet, excess in reversed(ENCODINGS):
-        size = len(alphabet)
-        halves = "0" * (size // 2) + "1" * (size - size // 2)
-        own = F.struct(F.lit(alphabet).alias("letters"), F.lit(halves).alias("halves"), F.lit(float(size)).alias("size"), F.lit(excess).alias("excess"))
+    for _, form, alphabet, excess, words in reversed(ENCODINGS):
+        rate, spread = changes(alphabet)
+        numbers = {"size": float(len(alphabet)), "excess": excess, "rate": rate, "spread": spread, "words": words}
+        own = F.struct(F.lit(alphabet).alias("letters"), F.lit(_kinds(alphabet)).alias("kinds"), *[F.lit(x).alias(c) for c, x in numbers.items()])
         choice = own if choice is None else F.when(value.rlike(form), own).otherwise(choice)
     return choice
 
 
 def _battery(value: Column, encoding: Column) -> Column:
-    """How likely ordinary words are to look as even as the string does; one if a test for order rejects chance.
+    """How likely ordinary words are to look as random as the string does; one if the tests for order reject chance.
 
-    Chi-squared of the letters' counts; runs above and below the middle of the alphabet; correlation of neighbours.
+    Chi-squared of the letters' counts, and runs of letters of one kind, each give the chance under ordinary words; both are
+    combined by the product of the two. Runs and the correlation of neighbours are combined against chance by the sum of their squares.
     """
-    letters, size, excess = encoding["letters"], encoding["size"], encoding["excess"]
-    halves = F.call_function("translate", value, letters, encoding["halves"])
+    letters, size, excess, words = (encoding[c] for c in ("letters", "size", "excess", "words"))
     n = F.length(value).cast("double")
     count = lambda c: n - F.length(F.replace(value, c, F.lit("")))
     squares = F.aggregate(F.split(letters, ""), F.lit(0.0), lambda a, c: a + F.pow(count(c), F.lit(2.0)))
     chi = squares * size / n - n
     df = size - 1
     even = (df + excess * n - chi) / F.sqrt(2 * df + 4 * excess * n)
-    ones = n - F.length(F.replace(halves, F.lit("1"), F.lit("")))
-    turns = (2 * n - F.length(F.replace(halves, F.lit("01"), F.lit(""))) - F.length(F.replace(halves, F.lit("10"), F.lit("")))) / 2
-    product = 2 * ones * (n - ones)
-    spread = product * (product - n) / (n * n * (n - 1))
-    runs = F.when(spread > 0, (turns + 1 - product / n - 1) / F.sqrt(spread)).otherwise(99.0)
+    kinds = F.call_function("translate", value, letters, encoding["kinds"])
+    turns = F.length(F.regexp_replace(kinds, r"(.)\1*", "r")) - 1.0
+    mixed = (turns - words * (n - 1)) / F.sqrt(words * (1 - words) * (n - 1))
+    runs = (turns - encoding["rate"] * (n - 1)) / F.sqrt(encoding["spread"] * (n - 1))
     places = F.transform(F.split(value, ""), lambda c: F.call_function("instr", letters, c).cast("double") - (size + 1) / 2)
 
     def correlation(v: Column) -> Column:
@@ -122,7 +136,8 @@ def _battery(value: Column, encoding: Column) -> Column:
         return F.when(squared > 0, paired / squared * F.sqrt(count)).otherwise(99.0)
 
     serial = _let(places, correlation)
-    return F.when((F.abs(runs) > REJECT) | (F.abs(serial) > REJECT), F.lit(1.0)).otherwise(_normal_tail(even))
+    both = _let(_normal_tail(even) * _normal_tail(mixed), lambda p: p * (1 - F.log(p)))
+    return F.when(runs * runs + serial * serial > REJECT, F.lit(1.0)).otherwise(both)
 
 
 def _candidates(text: Column) -> Column:

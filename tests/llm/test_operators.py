@@ -1,8 +1,11 @@
 """Each operator against plain Python that does the same the long way, on small tables with every odd case."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -428,6 +431,74 @@ def test_random_strings_after_an_equals_sign_are_found(spark):
         assert sum(clean[k] == forms[form].format("[SECRET]") for k in range(form, 120, 6)) >= 16
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
+
+def plain_battery(value):
+    """The tests for one string in plain Python: tenths of the negative logarithm of its chance."""
+    if value.isdigit():
+        return 0
+    _, _, alphabet, excess, words = next(e for e in secrets.ENCODINGS if re.search(e[1], value))
+    size, n = len(alphabet), len(value)
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * (z := max(-8.0, min(8.0, z))) + 0.07056 * z**3))
+    chi = sum(value.count(c) ** 2 for c in alphabet) * size / n - n
+    even = (size - 1 + excess * n - chi) / math.sqrt(2 * (size - 1) + 4 * excess * n)
+    kind = lambda c: "mark" if c in alphabet[-2:] and c in "+/-_" else next((k for k, part in enumerate(LETTERS) if c in part), c)
+    turns = sum(kind(a) != kind(b) for a, b in itertools.pairwise(value))
+    share = Counter(map(kind, alphabet)).values()
+    same, thrice = sum((k / size) ** 2 for k in share), sum((k / size) ** 3 for k in share)
+    runs = (turns - (1 - same) * (n - 1)) / math.sqrt((same * (1 - same) + 2 * (thrice - same**2)) * (n - 1))
+    mixed = (turns - words * (n - 1)) / math.sqrt(words * (1 - words) * (n - 1))
+    x = np.array([alphabet.find(c) + 1 for c in value], float)
+    x -= x.mean()
+    serial = (x[:-1] * x[1:]).sum() / (x * x).sum() * math.sqrt(n) if (x * x).sum() > 0 else 99.0
+    p = tail(even) * tail(mixed)
+    chance = 1.0 if runs**2 + serial**2 > secrets.REJECT else p * (1 - math.log(p))
+    return math.floor(-math.log10(max(chance, 1e-30)) * 10)
+
+
+def key_texts(rng, alphabets, lengths, each):
+    keys = ["".join(rng.choices(a, k=n)) for a in alphabets for n in lengths for _ in range(each)]
+    return {k: f"see {key} there" for k, key in enumerate(keys)}
+
+
+NAMES = ["XMLHttpRequestUploadProgressEvent", "docs/MyProject/BuildSystem/CMakeLists", "/opt/spark/jars/bundle-aws-runtime-1", "getUserByEmailAddressOrNull", "AbstractSingletonProxyFactoryBean"]
+NAMES += ["/usr/local/share/applications/documents/readme", "examples/src/main/python/sql/streaming/word_count_session", "internationalization-of-standards", "MAXIMUM_NUMBER_OF_CONNECTIONS", "20240131T235959Z20240201"]
+
+
+def test_battery_levels_and_random_spans_equal_plain_python(spark):
+    rng = random.Random(28)
+    texts = key_texts(rng, [LETTERS[0] + LETTERS[1] + LETTERS[2] + "+/", LETTERS[2] + "ABCDEF", LETTERS[0] + "234567", LETTERS[2] + LETTERS[1], LETTERS[0] + LETTERS[1] + LETTERS[2] + "-_"], (20, 31, 32, 64, 70), 6)
+    texts |= {1000 + k: f"{n}, {n}." for k, n in enumerate([*NAMES, "a" * 20, "ab" * 40, "1" * 30, "-" * 25, "a/+b-_" * 9])}
+    found = {d: [(m.start(), m.end(), sum(len(m[0]) >= c for c in secrets.CLASSES), plain_battery(m[0])) for m in re.finditer(secrets.RUN, t)] for d, t in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    got = docs.select("doc_id", secrets._candidates(F.col("text")).alias("c")).collect()
+    assert {r.doc_id: [tuple(c) for c in r.c] for r in got} == found
+    counted, least = Counter((c[2], c[3]) for cs in found.values() for c in cs), {}
+    for stratum, level in sorted(counted):
+        above = lambda k: sum(n for (s, v), n in counted.items() if s == stratum and v >= k)  # noqa: B023, E731
+        if 10 ** (-level / 10) * above(-1) <= secrets.FALSE_SHARE * above(level):
+            least.setdefault(stratum, level)
+    assert {r.stratum: r.least for r in secrets.levels(docs).collect()} == least and least
+    for r in secrets.find_secrets(docs).collect():
+        inside = lambda a, b: any(s.start <= a and s.end >= b for s in r.base)  # noqa: B023, E731
+        want = [(a, b) for a, b, stratum, level in found[r.doc_id] if level >= least.get(stratum, 10**6) and not inside(a, b)]
+        assert [(s.start, s.end) for s in r.secrets if s.kind == "random"] == want
+
+
+def test_recall_by_encoding_and_no_names_or_paths(spark):
+    rng = random.Random(38)
+    alphabets = {"HEX": LETTERS[2] + "ABCDEF", "base32": LETTERS[0] + "234567", "lower36": LETTERS[2] + LETTERS[1], "base64": LETTERS[0] + LETTERS[1] + LETTERS[2] + "+/"}
+    texts = key_texts(rng, alphabets.values(), (24, 32, 40), 40)
+    texts |= {1000 + k: f"see {n} there" for k, n in enumerate(NAMES * 40)}
+    rows = secrets.find_secrets(spark.createDataFrame(list(texts.items()), DOCS)).collect()
+    found = {r.doc_id for r in rows if any(s.kind == "random" for s in r.secrets)}
+    recall = {(name, n): len(found & set(range(k, k + 40))) / 40 for k, (name, n) in zip(range(0, 480, 40), itertools.product(alphabets, (24, 32, 40)), strict=True)}
+    least = {24: 0.25, 32: 0.5, 40: 0.75}
+    assert all(share >= least[n] for (_, n), share in recall.items()), recall
+    assert not {texts[k] for k in found if k >= 1000}
+
+
 # --- near copies ------------------------------------------------------------------------------------------------------
 
 
