@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from candlewick.functions.numeric import pct_change, ratio, safe_log
 from candlewick.operators.recurrence import carried_ema, ema_inputs, over_blocks
 from candlewick.schemas import PRICE_FEATURES
-from candlewick.series import DAILY, GROUP, MAIN, Series, main_rows, split
+from candlewick.series import DAILY, GROUP, MAIN, Series, in_tasks, main_rows, split
 
 # Window lengths of the standard set.
 SMA_LENGTHS = (5, 10, 20, 50, 200)
@@ -270,8 +270,10 @@ def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> Data
 def indicator_set(df: DataFrame, series: Series = DAILY, keep: Sequence[str] | None = PRICE_FEATURES) -> DataFrame:
     """All indicators of a daily series after one shuffle by key.
 
-    ``keep`` prunes the result to the model features; ``None`` returns every column.
+    ``keep`` prunes the result to the model features; ``None`` returns every column. The rows are counted first: the number of tasks
+    follows from it, so that the memory of one does not grow with the number of keys.
     """
+    df = in_tasks(df, series.partition, df.count())
     running = [F.sum(value).over(series.running()).alias(name) for name, value in _totals().items()]
     rows = _trailing(df, series).select("*", *running, *ema_inputs(series))
     averages = carried_ema(rows, _averages(), series)

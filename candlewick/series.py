@@ -53,6 +53,20 @@ DAILY = Series()
 TICKS = Series(key=("symbol",), order=("timestamp", "seq"))
 
 
+#: Rows of whole keys that a task takes; it holds them several times over in wide rows while windows sort them.
+TASK_ROWS = 200_000
+
+
+def in_tasks(df: DataFrame, on: Sequence[str], rows: int, task_rows: int | None = None) -> DataFrame:
+    """``df``, of so many rows, dealt by ``on`` to as many tasks as hold about ``TASK_ROWS`` each.
+
+    Spark joins shuffle partitions up to 64 MB of narrow, compressed rows. Windows make them twenty times as wide and sort them again and
+    again, so that a task would grow with the table. A small table is left to Spark.
+    """
+    tasks = -(-rows // (task_rows or TASK_ROWS))
+    return df if tasks <= 1 else df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *on)
+
+
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join on columns where NULL finds NULL, so that rows with NULL keys find their group too."""
     keyed = right.select(F.struct(*on).alias(ON), *[c for c in right.columns if c not in on])

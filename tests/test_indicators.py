@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from candlewick import series as series_module
 from candlewick.operators import indicators as ind
 from candlewick.schemas import BARS, PRICE_FEATURES
 
@@ -131,3 +132,10 @@ def test_set_needs_one_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_a_task_holds_a_bounded_number_of_rows(spark, monkeypatch):
+    """However many keys there are: the tasks of the windows follow the rows, and Spark does not join them again."""
+    monkeypatch.setattr(series_module, "TASK_ROWS", 100)
+    bars = _bars(spark, {f"k{i}": [float(i + j) for j in range(20)] for i in range(60)})
+    assert ind.indicator_set(bars).rdd.getNumPartitions() == 12
