@@ -15,6 +15,7 @@ from candlewick.functions.numeric import pct_change, ratio, safe_log
 from candlewick.operators.recurrence import carried_ema, ema_inputs, over_blocks
 from candlewick.schemas import PRICE_FEATURES
 from candlewick.series import DAILY, GROUP, MAIN, Series, in_tasks, main_rows, split
+from candlewick.session import staged
 
 # Window lengths of the standard set.
 SMA_LENGTHS = (5, 10, 20, 50, 200)
@@ -249,11 +250,11 @@ def _totals() -> dict[str, Column]:
     return {"OBV": F.col("_signed"), "_traded": typical_price() * F.col("volume"), "_shares": F.col("volume")}
 
 
-def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> DataFrame:
+def _settled(df: DataFrame) -> DataFrame:
+    """What follows from the averages and totals without the signal line."""
     width = BOLLINGER[1]
-    final = df.select(
+    return df.select(
         "*",
-        *[c.alias(name) for name, c in macd_columns(_line(), "_signal_line").items()],
         rsi_column("_avg_gain", "_avg_loss").alias("RSI"),
         F.col("MA_20").alias("BB_middle"),
         (F.col("MA_20") + width * F.col("_sd")).alias("BB_upper"),
@@ -262,6 +263,14 @@ def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> Data
         ratio(F.col("_traded"), F.col("_shares")).alias("VWAP"),
         F.when(F.col("_before").isNotNull(), F.col("_signed")).alias("OBV_change"),
     )
+
+
+def _with_macd(df: DataFrame) -> DataFrame:
+    return df.select("*", *[c.alias(name) for name, c in macd_columns(_line(), "_signal_line").items()])
+
+
+def _finished(df: DataFrame, series: Series, keep: Sequence[str] | None) -> DataFrame:
+    final = _settled(_with_macd(df))
     if keep is not None:
         return final.select(*series.order, *series.key, *keep)
     return final.select(*[c for c in final.columns if not c.startswith("_")])
@@ -287,11 +296,23 @@ def indicator_set_any_size(
     bucket: Column | None = None,
     block_rows: int = 65536,
 ) -> DataFrame:
-    """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block."""
+    """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block.
+
+    The bars are written once, since cells, blocks and states all read them; so are the features before the signal line, which
+    averages them again. Otherwise each level would compute the ones below it twice.
+    """
+    df = staged(df, "bars")
+    seen = df.count()
+    with_halo = seen + seen * HALO // block_rows
     parts, blocked = split(df, series, bucket, halo=HALO, block_rows=block_rows)
+    parts = in_tasks(parts, blocked.partition, with_halo)
     rows = _trailing(parts, blocked).filter(MAIN).drop(MAIN)
     averages = over_blocks(rows, blocked, _averages(), _totals())
-    return _finished(over_blocks(averages, blocked, _signal()).drop(GROUP), series, keep)
+    final = _finished(averages.withColumn("_signal_line", F.lit(0.0)), series, keep).columns
+    settled = _settled(averages)
+    needed = dict.fromkeys([GROUP, *series.order, *[c for c in final if c in settled.columns], "EMA_12", "EMA_26"])
+    settled = in_tasks(staged(settled.select(*needed), "features"), blocked.partition, seen)
+    return _with_macd(over_blocks(settled, blocked, _signal())).select(*final)
 
 
 def tick_indicators(

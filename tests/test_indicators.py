@@ -139,3 +139,12 @@ def test_a_task_holds_a_bounded_number_of_rows(spark, monkeypatch):
     monkeypatch.setattr(series_module, "TASK_ROWS", 100)
     bars = _bars(spark, {f"k{i}": [float(i + j) for j in range(20)] for i in range(60)})
     assert ind.indicator_set(bars).rdd.getNumPartitions() == 12
+    blocks = ind.indicator_set_any_size(bars, block_rows=300)
+    assert blocks.rdd.getNumPartitions() == 12 and blocks.count() == bars.count()
+
+
+def test_blocks_compute_no_window_twice(spark):
+    """The signal line reads features that were written, not windows over windows."""
+    bars = _bars(spark, {"a": [float(j + 1) for j in range(50)]})
+    plan = ind.indicator_set_any_size(bars, block_rows=300)._jdf.queryExecution().optimizedPlan().toString()
+    assert "stddev_samp" not in plan
