@@ -547,6 +547,16 @@ def test_near_copies_link_from_similarity_0_8(spark, monkeypatch, rounds):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_simhash_finds_candidates_before_the_exact_search(spark, sf_dir, monkeypatch):
+    seen, search = [], simhash.near_duplicates
+    monkeypatch.setattr(simhash, "near_duplicates", lambda docs, *a, **k: seen.append((docs.columns, k)) or search(docs, *a, **k))
+    text = prose(3, 400, 3000)
+    docs = [(1, text), (2, text + " end"), (3, prose(4, 400, 3000))]
+    got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(docs, DOCS), sf_dir)
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+    assert seen == [(["node", "text"], {"words": copies.WORDS})]
+
+
 def test_one_row_of_each_group_of_near_copies_stays(spark, sf_dir):
     docs = copied_documents()
     least = {}
