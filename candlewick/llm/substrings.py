@@ -84,7 +84,7 @@ def _windows(held: DataFrame, window: int, anchor: int) -> DataFrame:
             if made:
                 yield _frame(made)
 
-    return held.select("doc", F.xxhash64("row").alias("key"), "text", "places").mapInPandas(scan, "hash long, doc long, start int, key long, anchor int")
+    return held.select("doc", F.col("number").alias("key"), "text", "places").mapInPandas(scan, "hash long, doc long, start int, key long, anchor int")
 
 
 def route(phrases: np.ndarray) -> np.ndarray:
@@ -137,7 +137,7 @@ def _passages(held: DataFrame, firsts: DataFrame, shards: int, window: int) -> D
             yield pd.DataFrame(out, columns=["shard", "row", "doc", "at", "words"])
 
     # Several texts may have one document number, null ones above all; a passage is cut from the text in which it was confirmed.
-    joined = held.withColumn("key", F.xxhash64("row")).join(listed, "key").select("doc", "text", "firsts")
+    joined = held.withColumnRenamed("number", "key").join(listed, "key").select("doc", "text", "firsts")
     return joined.mapInPandas(scan, "shard long, row binary, doc long, at int, words binary")
 
 
@@ -284,17 +284,18 @@ def repeated_ranges(
     raw = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text).alias("text")).filter(F.length("text") > 0)
     named = raw.select("doc", "text", row_key("doc", "text").alias("row"))
     copies = named.groupBy(F.unhex(F.md5("text")).alias("same")).agg(F.min("doc").alias("first"))
-    # Rows of the first document with a text; equal rows collapse by their key.
-    ids = kept(named.select("row", "doc", F.unhex(F.md5("text")).alias("same")).distinct().join(copies, "same").select("row", "doc", (F.col("doc") == F.col("first")).alias("original")), "rows")
-    originals = ids.filter("original").select("row")
-    anchored = kept(_anchor_rows(named, window, anchor).join(originals, "row", "left_semi"), "anchors")
+    # Rows of the first document with a text; equal rows collapse by their key. Their anchors, many a row, carry a number for the key.
+    original, number = (F.col("doc") == F.col("first")).alias("original"), F.monotonically_increasing_id().alias("number")
+    ids = kept(named.select("row", "doc", F.unhex(F.md5("text")).alias("same")).distinct().join(copies, "same").select("row", "doc", original, number), "rows")
+    originals = ids.filter("original").select("row", "number")
+    anchored = kept(_anchor_rows(named, window, anchor).join(originals, "row").select("number", "hash", "place"), "anchors")
     release(spark)
-    spread = anchored.select("row", F.explode(F.arrays_zip("hash", "place")).alias("a")).select("row", "a.hash", "a.place")
+    spread = anchored.select("number", F.explode(F.arrays_zip("hash", "place")).alias("a")).select("number", "a.hash", "a.place")
     recurring = spread.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    places = kept(spread.join(recurring, "hash").groupBy("row").agg(F.collect_set("place").alias("places")), "places")  # at most one for each word of the text
+    places = kept(spread.join(recurring, "hash").groupBy("number").agg(F.collect_set("place").alias("places")), "places")  # at most one for each word of the text
     discard(anchored)
     release(spark)
-    held = kept(named.join(places, "row").dropDuplicates(["row"]).select("row", "doc", "text", "places"), "held")
+    held = kept(named.join(places.join(originals, "number"), "row").dropDuplicates(["row"]).select("row", "number", "doc", "text", "places"), "held")
     discard(places)
     release(spark)
     confirmed = _windows(held, window, anchor).groupBy("hash").agg(F.min(F.struct("doc", "start", "key")).alias("first"), F.count(F.lit(1)).alias("n"), F.max("anchor").alias("anchor"))
@@ -302,12 +303,16 @@ def repeated_ranges(
     release(spark)
     total = firsts.count()
     shards = max(1, -(-total // shard_stretches))
+    passages = kept(_passages(held, firsts, shards, window), "passages")
+    discard(firsts)
+    release(spark)
     stretches = kept(_stretches(held, shards, window, anchor), "stretches")
-    found = _located(_passages(held, firsts, shards, window), stretches, window, shard_stretches)
+    discard(held)  # texts and the shuffle that met them with their passages are gone before the search shuffles its own
+    found = _located(passages, stretches, window, shard_stretches)
     ranges = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges"))
     whole = ids.filter("not original").select("row", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("end"))).alias("ranges"))
     out = kept(ranges.union(whole), "ranges")
-    discard(held, firsts, stretches, ids)
+    discard(passages, stretches, ids)
     release(spark)
     return out
 

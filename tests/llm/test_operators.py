@@ -304,6 +304,17 @@ def test_repeats(spark, shard):
     assert rows(got.select("doc_id", "text", "n_words", "n_removed", "kept")) == sorted(want, key=str)
 
 
+def test_the_search_for_repeats_starts_without_the_texts(spark, monkeypatch):
+    gone, locate, drop = [], substrings._located, substrings.discard
+    seen = []
+    monkeypatch.setattr(substrings, "discard", lambda *t: (gone.extend(c for x in t for c in x.columns), drop(*t)))
+    monkeypatch.setattr(substrings, "_located", lambda *a: seen.append("text" in gone) or locate(*a))
+    passage = prose(7, 60, 3000)
+    got = substrings.without_repeats(spark.createDataFrame([(1, passage), (2, "new " + passage)], DOCS))
+    assert [(r.doc_id, r.n_removed) for r in got.orderBy("doc_id").collect()] == [(1, 0), (2, 60)]
+    assert seen == [True]
+
+
 @pytest.mark.parametrize("shard", [40_000, 3])
 def test_repeats_of_null_and_repeated_ids(spark, shard):
     shared = [prose(600 + k, 60, 500) for k in range(8)]
