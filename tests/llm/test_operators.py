@@ -558,6 +558,50 @@ def test_near_copies_link_from_similarity_0_8(spark, monkeypatch, rounds):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_no_link_is_lost_among_texts_of_many_lengths(spark, monkeypatch, rounds):
+    monkeypatch.setattr(copies, "ROUNDS", rounds)
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(14)]
+    texts = []
+    for _ in range(40):
+        base = rng.choices(words, k=rng.randint(12, 60))
+        for _ in range(10):
+            own = [rng.choice(words) if rng.random() < 0.03 else w for w in base]
+            texts.append(" ".join(own[rng.randint(0, len(own) // 9) :] + rng.choices(words, k=rng.randint(0, len(own) // 6))))
+    texts = list(dict.fromkeys(texts))
+    sets = [frozenset(zip(w, w[1:], strict=False)) for w in map(str.split, texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and near(sets[i], sets[j]):
+                root = [root[i] if r == root[j] else r for r in root]
+    groups, got = {}, {}
+    for k, r in enumerate(root):
+        groups.setdefault(r, []).append(k)
+    for r in copies.near_copies(spark.createDataFrame(list(enumerate(texts)), DOCS), words=2).collect():
+        got.setdefault(bytes(r.component), []).append(r.doc_id)
+    assert 40 < len(groups) < len(texts) - 40
+    assert sorted(map(sorted, got.values())) == sorted(groups.values())
+
+
+def test_a_large_group_that_hangs_together_in_part_is_not_paired(spark, monkeypatch):
+    seen, verify = [], copies._verified
+    monkeypatch.setattr(copies, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verify(pairs, *a))
+    rng, base = random.Random(8), prose(77, 150, 3000).split()
+    docs = []
+    for k in range(200):
+        at = set(rng.sample(range(len(base)), rng.choice((2, 3, 3, 4, 5))))
+        docs.append((k, " ".join(f"new{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(base))))
+    groups, got = {}, {}
+    for (d, _), r in zip(docs, components_of(docs), strict=True):
+        groups.setdefault(r, []).append(d)
+    for r in copies.near_copies(spark.createDataFrame(docs, DOCS)).collect():
+        got.setdefault(bytes(r.component), []).append(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(groups.values())
+    assert len(groups) > 20 and sum(seen) < 10 * len(docs), seen
+
+
 def test_simhash_finds_candidates_before_the_exact_search(spark, sf_dir, monkeypatch):
     seen, search = [], simhash.near_duplicates
     monkeypatch.setattr(simhash, "near_duplicates", lambda docs, *a, **k: seen.append((docs.columns, k)) or search(docs, *a, **k))
