@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
@@ -94,29 +94,63 @@ def blocks(html: str | None) -> list[Block]:
     return out
 
 
-@lru_cache(maxsize=100_000)
-def _slot(token: str, size: int) -> tuple[int, float]:
-    h = crc32(token.encode())
-    return h % size, 1.0 if h & 0x10000 else -1.0
+class _Known(dict):
+    """What ``make`` gives for each key. Long keys are not kept, and a full store is emptied, so that a worker's memory is bounded."""
+
+    def __init__(self, make: Callable, longest: int, most: int) -> None:
+        self.make, self.longest, self.most = make, longest, most
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
+def _path_row(path: tuple[str, ...]) -> np.ndarray:
+    """Hashed names of a path, each once; the last ones count most."""
+    row = np.zeros(PATH, np.float32)
+    for k, name in enumerate(dict.fromkeys(reversed(path))):
+        h = crc32(name.encode())
+        row[h % PATH] += (1.0 if h & 0x10000 else -1.0) / (1 + 0.1 * min(k, 16))  # far ancestors still count
+    return row
+
+
+def _word_code(word: str) -> int:
+    """Slot of a word, whether it counts there negatively, and whether a stop ends it, in one number below 256."""
+    h = crc32(word.strip(".,:;!?()©").encode())
+    return 4 * (h % WORDS) + (0 if h & 0x10000 else 2) + (word[-1] in ".!?,;:")
+
+
+_PATHS = _Known(_path_row, 32, 5_000)
+_CODES = _Known(_word_code, 64, 100_000)
+
+#: Blocks of a page whose words are counted at once.
+RUN = 4_096
 
 
 def block_features(page: list[Block]) -> np.ndarray:
     """A row for each block: hashed names of the whole path (each once, the last ones count most), hashed words, figures of shape and place."""
     x = np.zeros((len(page), PATH + WORDS + FIGURES), np.float32)
-    for i, b in enumerate(page):
-        for k, name in enumerate(dict.fromkeys(reversed(b.path))):
-            slot, sign = _slot(name, PATH)
-            x[i, slot] += sign / (1 + 0.1 * min(k, 16))  # far ancestors still count
-        words = b.text.lower().split()
-        for w in words:
-            slot, sign = _slot(w.strip(".,:;!?()©"), WORDS)
-            x[i, PATH + slot] += sign
-        x[i, PATH : PATH + WORDS] /= max(1.0, float(np.linalg.norm(x[i, PATH : PATH + WORDS])))  # long and repetitive blocks weigh no more
-        stops = sum(w[-1] in ".!?,;:" for w in words)
-        x[i, PATH + WORDS :] = (
-            min(len(words), 100) / 50, min(np.log1p(len(b.text)), 8) / 4, b.linked / len(b.text), stops / len(words),
-            i / len(page), 1.0 if b.text[0].isupper() else 0.0, 1.0 if b.text[0] == "©" else 0.0, min(len(page), 200) / 100,
-        )
+    for at in range(0, len(page), RUN):
+        run = page[at : at + RUN]
+        n, rows = len(run), x[at : at + RUN]
+        for row, b in zip(rows, run, strict=True):
+            row[:PATH] = _PATHS[b.path]
+        codes = [bytes(map(_CODES.__getitem__, b.text.lower().split())) for b in run]
+        counts = np.fromiter(map(len, codes), np.int64, n)
+        places = np.repeat(np.arange(n) * 4 * WORDS, counts) + np.frombuffer(b"".join(codes), np.uint8)
+        tally = np.bincount(places, minlength=n * 4 * WORDS).reshape(n, WORDS, 2, 2)
+        signed = tally[:, :, 0].sum(2) - tally[:, :, 1].sum(2)
+        norms = np.maximum(1.0, np.sqrt((signed * signed).sum(1))).astype(np.float32)  # long and repetitive blocks weigh no more
+        rows[:, PATH : PATH + WORDS] = signed.astype(np.float32) / norms[:, None]
+        lengths = np.fromiter((len(b.text) for b in run), np.int64, n)
+        rows[:, PATH + WORDS :] = np.stack((
+            np.minimum(counts, 100) / 50, np.minimum(np.log1p(lengths), 8) / 4, [b.linked for b in run] / lengths, tally[..., 1].sum((1, 2)) / counts,
+            np.arange(at, at + n) / len(page), [b.text[0].isupper() for b in run], [b.text[0] == "©" for b in run], np.full(n, min(len(page), 200) / 100),
+        ), 1)
     return x
 
 

@@ -5,6 +5,8 @@ import itertools
 import math
 import random
 import re
+import sys
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -215,6 +217,51 @@ def test_far_ancestors_and_late_class_names_reach_the_model():
     assert (late("sidebar") != late("content")).any()
 
 
+def test_features_of_blocks_equal_plain_loops():
+    odd = ["a.", "A", "(b)", "©", "É!", "İ", "¿c?", "...", "x" * 100, "&nbsp;d,", "1"]
+    pages = [[html.Block(("div", ".c", "div") * (i % 15), " ".join(odd[j % 11] for j in range(i, i * 7 + 1)), i) for i in range(n)] for n in (0, 1, 30)]
+    pages.append([html.Block(("main", f".{i}"), f"Block {i % 300}", 0) for i in range(html.RUN + 3)])  # more than one run
+    for page in pages:
+        found = html.block_features(page)
+        assert found.shape == (len(page), html.PATH + html.WORDS + html.FIGURES) and found.dtype == np.float32
+        for i, b in enumerate(page):
+            path, words = np.zeros(html.PATH, np.float32), np.zeros(html.WORDS, np.float32)
+            for k, name in enumerate(dict.fromkeys(reversed(b.path))):
+                h = zlib.crc32(name.encode())
+                path[h % html.PATH] += (1.0 if h & 0x10000 else -1.0) / (1 + 0.1 * min(k, 16))
+            split = b.text.lower().split()
+            for w in split:
+                h = zlib.crc32(w.strip(".,:;!?()©").encode())
+                words[h % html.WORDS] += 1.0 if h & 0x10000 else -1.0
+            words /= max(1.0, float(np.linalg.norm(words)))
+            figures = (
+                min(len(split), 100) / 50, min(np.log1p(len(b.text)), 8) / 4, b.linked / len(b.text), sum(w[-1] in ".!?,;:" for w in split) / len(split),
+                i / len(page), 1.0 if b.text[0].isupper() else 0.0, 1.0 if b.text[0] == "©" else 0.0, min(len(page), 200) / 100,
+            )
+            assert (found[i] == np.concatenate([path, words, np.array(figures, np.float32)])).all(), (len(page), i)
+
+
+def test_words_of_blocks_take_no_step_each():
+    steps = 0
+
+    def count(frame, event, arg):
+        nonlocal steps
+        steps += event in ("call", "c_call")
+
+    page = [html.Block(("article", "p"), "some words of a text, again and again. " * 200, 0)] * 20
+    sys.setprofile(count)
+    try:
+        html.block_features(page)
+    finally:
+        sys.setprofile(None)
+    assert steps < 1_000  # 32,000 words
+
+
+def test_stores_of_words_and_paths_stay_small():
+    known = html._Known(len, 3, 2)
+    assert [known[k] for k in ("a", "bb", "a", "cccc", "ddd")] == [1, 2, 1, 4, 3] and dict(known) == {"ddd": 3}
+
+
 def test_held_out_pages_are_labelled():
     rng, wrong, total = np.random.default_rng(2024), 0, 0
     for _ in range(100):
