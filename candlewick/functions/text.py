@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-_WORD = r"[\p{L}\p{N}_]"
+WORD = r"\p{L}\p{N}_"
+_WORD = f"[{WORD}]"
 _CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
@@ -49,11 +50,6 @@ def any_of_pattern(words: list[str], whole_word: bool = False) -> str:
     return f"(?i)(?<!{_WORD})(?:{body})(?!{_WORD})" if whole_word else f"(?i)(?:{body})"
 
 
-def literal_pattern(word: Column) -> Column:
-    """Pattern of a literal word that is whole, from a column."""
-    return F.concat(F.lit(f"(?i)(?<!{_WORD})(?:"), F.regexp_replace(word, r"([^\p{L}\p{N}\s])", r"\\$1"), F.lit(f")(?!{_WORD})"))
-
-
 def prompt(text: Column, aspect: Column, instruction: str, delimiter: str, ending: str) -> Column:
     """Instruction, text and aspect joined into one scoring prompt."""
     return F.concat(F.lit(instruction), text, F.lit(delimiter), aspect, F.lit(ending))

@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick.operators import mlprep as ml, profile as pf, rules as rules_module, versions as vs
 from candlewick.operators.rules import match_many, match_rules
+from candlewick.operators.wordindex import WordIndex, inside_words, loose_ends
 from candlewick.plans import jobs
 from candlewick.plans.catalogue.registry import scratch_lake
 from candlewick.operators.sentiment import lexicon_scored
@@ -68,6 +71,51 @@ def test_a_ticker_with_any_number_of_aliases_and_parts_of_the_index_match_once(s
     assert sorted((r.extracted_title, str(r.ticker)) for r in got.collect()) == sorted(expected)
 
 
+def test_words_are_found_as_python_finds_them():
+    """Words of one byte up to several windows, that overlap, repeat, share windows and end at the edges of texts."""
+    rng, letters = np.random.default_rng(5), "ab _é¬𝒳"
+    texts = ["".join(rng.choice(list(letters), n)) for n in [*range(30), 200, 3_000]] * 3 + [None]
+    cut = lambda t, n, i=0: t[i : i + n]
+    words = sorted({cut(t, n, i) for t in texts if t for n in (1, 2, 3, 5, 8, 9, 17, 40) for i in (0, len(t) // 2, max(0, len(t) - n))} | {"absent", "abababababababababx"})
+    tables = (index := WordIndex(pa.array(words), pa.array(texts[:9]))).tables()
+    for shown in (pa.array(texts), pa.array(["head", *texts]).slice(1)):
+        found = {*zip(*(x.tolist() for x in index.find(shown, tables)), strict=True)}
+        assert found == {(i, k) for i, t in enumerate(texts) if t for k, w in enumerate(words) if w in t}
+    masks = pa.array([None if t is None else re.sub(r"\w", "w", re.sub(r"\W", "-", t)) for t in texts])
+    inside = inside_words(pa.array(texts), masks)
+    found = {*zip(*(x.tolist() for x in index.find(pa.array(texts), tables, inside)), strict=True)}
+    assert found == {(i, k) for i, t in enumerate(texts) if t for k, w in enumerate(words) if re.search(rf"(?<!\w){re.escape(w)}(?!\w)", t)}
+    assert loose_ends(pa.array(texts), inside).tolist() == [bool(re.search(r"(?<!\w)(?!\w)", t or "")) for t in texts]
+
+
+@pytest.mark.parametrize("whole_word", [False, True])
+def test_empty_banned_words_and_url_only_ones_refuse_as_in_single_tests(spark, whole_word):
+    heads = [("nvidia", "u"), ("nvidia ¬ gains", "u"), ("¬ nvidia", None), ("nvidia", "see nvidia ban"), ("nvidia¬", "ban"), ("a¬b nvidia", "x¬"), ("nvidia", "")]
+    rules = [("EMPTY", ["nvidia"], [""]), ("URL", ["nvidia"], ["ban", "other"]), ("BOTH", ["nvidia", "gains"], ["ban", ""])]
+    df = spark.createDataFrame(heads, HEADS)
+    one = match_rules(df, {t: {"aliases": a, "blacklist": b} for t, a, b in rules}, whole_word=whole_word)
+    assert _pairs(match_many(df, spark.createDataFrame(rules, RULES), whole_word=whole_word)) == _pairs(one) != []
+
+
+def test_tickers_of_many_headlines_are_returned_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(rules_module, "FOUND", 5)
+    part = pa.table({"_rule": [f"T{i % 3}" for i in range(6)], "_alias": ["x", "y", "z"] * 2, "_banned": pa.array([[]] * 3 + [["no"]] * 3, pa.list_(pa.string()))})
+    held = rules_module._compiled(part, pa.array([], pa.string()))
+    title = pa.array(["x y z", "x", None, "", "y z no", "z y x x", "none", "xyz"])
+    got = [*rules_module._accepted(held, held.index.tables(), title, pa.array(["u"] * 8), ())]
+    assert max(len(a.flatten()) for a in got) < 8 and len(got) == 2
+    assert [sorted(x) for a in got for x in a.to_pylist()] == [["T0", "T1", "T2"], ["T0"], [], [], ["T1", "T2"], ["T0", "T1", "T2"], [], ["T0", "T1", "T2"]]
+
+
+def test_a_matching_rule_costs_no_further_look_at_the_headline(spark):
+    """No join makes a row per headline and rule that a test of the text would then read."""
+    df = spark.createDataFrame([("some alias here", "u")], HEADS)
+    rules = spark.range(200).select(F.concat(F.lit("T"), "id").alias("ticker"), F.array(F.lit("alias")).alias("aliases"), F.array(F.concat(F.lit("x"), "id")).alias("blacklist"))
+    found = match_many(df, rules)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "contains" not in plan.lower() and found.count() == 200
+
+
 def test_no_rules_match_nothing(spark):
     assert match_many(spark.createDataFrame([("a", "u")], HEADS), spark.createDataFrame([], RULES)).count() == 0
 
