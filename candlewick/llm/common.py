@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.session import shared_dir
+from candlewick.session import discard, release, shared_dir  # noqa: F401  (the operators take them from here)
 
 #: ASCII to lower case, and every byte that is no digit, letter or part of a longer character to a space.
 WORD_BYTES = bytes(
@@ -27,22 +25,6 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete kept tables whose rows have gone into other kept tables. Nothing reads them again, whatever is lost."""
-    for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(conf).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are no longer referenced: the cleaner acts on collected
-    references only, and a driver that does little else may not collect any for half an hour."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def plain_words(text: str | None) -> list[bytes]:
     """Words of ASCII letters (lower-cased), digits and any longer characters."""
     return text.encode().translate(WORD_BYTES).split() if text else []

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from candlewick.functions.numeric import pct_change, ratio, safe_log
 from candlewick.operators.recurrence import carried_ema, ema_inputs, over_blocks
 from candlewick.schemas import PRICE_FEATURES
-from candlewick.series import DAILY, GROUP, MAIN, Series, in_tasks, main_rows, split
-from candlewick.session import staged
+from candlewick.series import DAILY, GROUP, MAIN, Series, in_tasks, main_rows, split, staged_in_tasks, tasks_of
+from candlewick.session import discard, release, staged
 
 # Window lengths of the standard set.
 SMA_LENGTHS = (5, 10, 20, 50, 200)
@@ -298,20 +298,28 @@ def indicator_set_any_size(
 ) -> DataFrame:
     """The same indicators for bars so fine that one key may outgrow a task (seconds, trades): block by block.
 
-    The bars are written once, since cells, blocks and states all read them; so are the features before the signal line, which
-    averages them again. Otherwise each level would compute the ones below it twice.
+    The bars are written once, since cells and blocks read them, and deleted when the blocks are written; these in turn when the features before
+    the signal line are, which averages them again. Otherwise each level would compute the ones below it twice. Blocks and features lie in
+    files by task, so that both readings of each need no shuffle.
     """
-    df = staged(df, "bars")
-    seen = df.count()
-    with_halo = seen + seen * HALO // block_rows
-    parts, blocked = split(df, series, bucket, halo=HALO, block_rows=block_rows)
-    parts = in_tasks(parts, blocked.partition, with_halo)
+    spark = df.sparkSession
+    bars = staged(df, "bars")
+    seen = bars.count()
+    tasks = tasks_of(bars, seen)
+    finer = tasks * max(1, round((block_rows + HALO) / block_rows))  # a multiple, so that features stay in the tasks of their blocks
+    release(spark)
+    parts, blocked = split(bars, series, bucket, halo=HALO, block_rows=block_rows)
+    parts = staged_in_tasks(parts.repartition(finer, GROUP) if tasks > 1 else parts, [GROUP], finer if tasks > 1 else 1, "blocks")
+    discard(bars)
+    release(spark)
     rows = _trailing(parts, blocked).filter(MAIN).drop(MAIN)
     averages = over_blocks(rows, blocked, _averages(), _totals())
     final = _finished(averages.withColumn("_signal_line", F.lit(0.0)), series, keep).columns
     settled = _settled(averages)
     needed = dict.fromkeys([GROUP, *series.order, *[c for c in final if c in settled.columns], "EMA_12", "EMA_26"])
-    settled = in_tasks(staged(settled.select(*needed), "features"), blocked.partition, seen)
+    settled = staged_in_tasks(settled.select(*needed), [GROUP], tasks, "features")
+    discard(parts)
+    release(spark)
     return _with_macd(over_blocks(settled, blocked, _signal())).select(*final)
 
 

@@ -8,13 +8,14 @@ trailing rows its frames need, so that every operator written against ``Series``
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
-from candlewick.session import staged
+from candlewick.session import shared_dir, staged
 
 GROUP = "_group"  # struct of key and block: one column, so that a join and the windows after it share a shuffle
 BLOCK = "_block"
@@ -63,8 +64,27 @@ def in_tasks(df: DataFrame, on: Sequence[str], rows: int, task_rows: int | None
     Spark joins shuffle partitions up to 64 MB of narrow, compressed rows. Windows make them twenty times as wide and sort them again and
     again, so that a task would grow with the table. A small table is left to Spark.
     """
+    tasks = tasks_of(df, rows, task_rows)
+    return df if tasks <= 1 else df.repartition(tasks, *on)
+
+
+def tasks_of(df: DataFrame, rows: int, task_rows: int | None = None) -> int:
     tasks = -(-rows // (task_rows or TASK_ROWS))
-    return df if tasks <= 1 else df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *on)
+    return tasks if tasks <= 1 else max(tasks, df.sparkSession.sparkContext.defaultParallelism)
+
+
+def staged_in_tasks(df: DataFrame, on: Sequence[str], tasks: int, purpose: str) -> DataFrame:
+    """As ``staged``, in files of so many tasks by ``on``. Spark knows how the rows are dealt, so that windows and joins by ``on`` read
+    them without a shuffle, however often. Rows that lie in that many tasks already, or a multiple, should not be dealt to others before:
+    each task then writes one file. The table's name is dropped at once; its files stay, and the rows are read by path.
+    """
+    if tasks <= 1:
+        return staged(df, purpose)
+    spark, name = df.sparkSession, f"spark_catalog.default.{purpose}_{uuid.uuid4().hex}"
+    df.write.bucketBy(tasks, *on).format("parquet").option("path", shared_dir(spark, purpose)).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def attach(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

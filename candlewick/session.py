@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,3 +51,19 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete kept (staged) tables whose rows have gone into others. Nothing reads them again, whatever is lost."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer referenced: the cleaner acts on collected
+    references only, and a driver that does little else may not collect any for half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

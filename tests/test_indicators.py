@@ -6,8 +6,9 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from candlewick import series as series_module
+from candlewick import series as series_module, session as session_module
 from candlewick.operators import indicators as ind
 from candlewick.schemas import BARS, PRICE_FEATURES
 
@@ -148,3 +149,24 @@ def test_blocks_compute_no_window_twice(spark):
     bars = _bars(spark, {"a": [float(j + 1) for j in range(50)]})
     plan = ind.indicator_set_any_size(bars, block_rows=300)._jdf.queryExecution().optimizedPlan().toString()
     assert "stddev_samp" not in plan
+
+
+def test_blocks_keep_only_their_features_and_do_not_shuffle_them(spark, monkeypatch, tmp_path):
+    """Of all tables on the way only what the result reads stays, dealt to its tasks as it lies; NULL keys included."""
+    folder = lambda _, purpose: f"{tmp_path}/{purpose}-{len(list(tmp_path.iterdir()))}"
+    for module in (session_module, series_module):
+        monkeypatch.setattr(module, "shared_dir", folder)
+    monkeypatch.setattr(series_module, "TASK_ROWS", 100)
+    closes = np.random.default_rng(3).uniform(10, 20, 700).round(2).tolist()
+    bars = _bars(spark, {"a": closes, "none": closes[::-1], **{f"k{i}": closes[i : i + 20] for i in range(30)}})
+    bars = bars.withColumn("ticker", F.when(F.col("ticker") != "none", F.col("ticker")))
+    out = ind.indicator_set_any_size(bars, keep=None, block_rows=210)
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"cells", "features"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "REPARTITION" not in plan
+    assert not [t for t in spark.catalog.listTables("default") if t.name.startswith(("blocks_", "features_"))]
+    order = ["ticker", "date"]
+    parts, whole = (x.toPandas().fillna({"ticker": ""}).set_index(order).sort_index() for x in (out, ind.indicator_set(bars, keep=None)))
+    assert len(parts) == len(whole) == 2_000 and set(parts.columns) == set(whole.columns)
+    for column in whole.columns:
+        np.testing.assert_allclose(parts[column].astype(float), whole[column].astype(float), rtol=1e-9, atol=1e-9, err_msg=column)
